@@ -76,27 +76,41 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
 
 
 def words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each word with A-Z lower-cased, its byte start, first word of each row plus the total)."""
-    rows = len(offsets) - 1
+    """(hash of each word with A-Z lower-cased, its byte start, first word of each row plus the total).
+
+    A block far over BLOCK_BYTES holds one very long text; it is cut between words, so that scratch memory stays bounded.
+    """
+    found, at = [], 0
+    while len(raw) - at > 4 * BLOCK_BYTES:
+        gaps = np.flatnonzero(separators[raw[at + 1 : at + 4 * BLOCK_BYTES]])
+        if not len(gaps):
+            break
+        cut = at + 1 + int(gaps[-1])
+        found.append(_words(raw[at:cut], np.clip(offsets - at, 0, cut - at), separators, at))
+        at = cut
+    found.append(_words(raw[at:], np.clip(offsets - at, 0, len(raw) - at), separators, at))
+    hashes, starts = (np.concatenate(x) for x in zip(*found))
+    return hashes, starts, np.searchsorted(starts, offsets)
+
+
+def _words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(rows + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     inside = ~separators[raw]
-    edge = np.zeros(len(raw) + 1, dtype=bool)
+    edge = np.empty(len(raw) + 1, dtype=bool)
     edge[1:-1] = inside[1:] != inside[:-1]
     edge[0], edge[-1] = inside[0], inside[-1]
-    inner = offsets[1:-1]
-    inner = inner[(inner > 0) & (inner < len(raw))]
-    both = inner[inside[inner] & inside[inner - 1]]  # a word ends at a row's end even where the next row goes on
+    inner = np.unique(offsets[(offsets > 0) & (offsets < len(raw))])
+    joined = inner[inside[inner] & inside[inner - 1]]  # a word ends at its row's end even where the next row goes on
     marks = np.flatnonzero(edge)
-    if len(both):
-        marks = np.sort(np.concatenate([marks, both, both]) if not edge[both].any() else np.concatenate([marks, np.repeat(np.unique(both), 2)]))
+    if len(joined):
+        marks = np.sort(np.concatenate([marks, joined, joined]))
     starts, ends = marks[0::2], marks[1::2]
     up, down = powers(len(raw))
     prefix = np.empty(len(raw) + 1, dtype=np.uint64)
     prefix[0] = 0
     np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * up, out=prefix[1:])
-    hashes = mix((prefix[ends] - prefix[starts]) * down[starts])
-    return hashes, starts, np.searchsorted(starts, offsets)
+    return mix((prefix[ends] - prefix[starts]) * down[starts]), starts + base
 
 
 def segment_ids(bounds: np.ndarray) -> np.ndarray:
