@@ -1,8 +1,8 @@
 """The training-data queries by name, and their SQL where SQL can express them."""
 
-from gleaner.llm import q_minhash, q_packing, q_sharding, q_urlfilter
+from gleaner.llm import q_langid, q_minhash, q_packing, q_sharding, q_toxicity, q_urlfilter
 
-_MODULES = [q_urlfilter, q_packing, q_minhash, q_sharding]
+_MODULES = [q_urlfilter, q_packing, q_toxicity, q_minhash, q_langid, q_sharding]
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
