@@ -11,7 +11,7 @@ coordinates of a shingle are one contiguous row of memory.
 Exactness: equal sets fold into one node. A node is compared with centres of its band buckets first (linear in the
 rows, whatever a bucket's size), which joins nearly all of a group of copies. Then every pair of a bucket whose members
 are still in different components, and which passes a size bound and a 256-bit sketch, is confirmed on the full
-sets, best first, until none is left. At similarity 0.8 a link escapes all 32 bands with probability 3e-6 and the
+sets: as rows in small buckets, in tiles of bounded size, of which only links leave the task, in large ones. At similarity 0.8 a link escapes all 32 bands with probability 3e-6 and the
 sketch with about 1e-6.
 
 Edge cases: null or wordless texts have an empty set, n_shingles 0 and are linked with nothing; a null id keeps its
@@ -33,10 +33,13 @@ BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
 PLACES = 1 << 20
 SKETCH_BITS = 256
-#: Differing sketch bits of a pair at similarity 0.8: mean 25.6, deviation 5.8; see sketch_limit.
+#: Ids that a broadcast may hold: eight bytes each.
 BROADCAST_IDS = 1_000_000
-STAR_ROUNDS = 4
-CENTRES_PER_ROUND = 3
+STAR_ROUNDS = 2
+CENTRES_PER_ROUND = 2
+#: Buckets up to this size give their pairs as rows; larger ones are compared in tiles of at most about TILE by TILE members.
+SMALL_BUCKET = 8
+TILE = 1024
 
 _rows: np.ndarray | None = None
 
@@ -189,8 +192,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = full.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("m")).select("set_a", "set_b", F.col("m.doc_id").alias("node"), "m.n_shingles", "m.bands", "m.sketch")
     nodes = stage(nodes, "nodes")
     rows = nodes.select("node", F.explode("bands").alias("key"))
-    busy = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    crowd = stage(rows.join(busy, "key").join(nodes.select("node", F.col("n_shingles").alias("n"), "sketch"), "node"), "crowd")
+    busy = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    near = stage(rows.join(busy, "key"), "near")
+    company = near.groupBy("node").agg(F.sum("c").alias("company"))
+    crowd = stage(near.drop("c").join(company.join(nodes.select("node", F.col("n_shingles").alias("n"), "sketch"), "node"), "node"), "crowd")
     some = stage(crowd.select("node").distinct(), "some")
     ids = some.count()
     labels = some.select("node", F.col("node").alias("comp"))
@@ -206,43 +211,89 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _link(crowd: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    limit = sketch_limit(percent)
+def _fits(a: str, b: str, percent: int):
+    """(size bound, differing sketch bits) of two aliases' rows."""
+    apart = F.bit_count(F.col(f"{a}.sketch")[0].bitwiseXOR(F.col(f"{b}.sketch")[0]))
+    for i in range(1, 4):
+        apart = apart + F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i]))
+    return F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent, apart
 
-    def fits(a: str, b: str):
-        apart = sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(1, 4)), F.bit_count(F.col(f"{a}.sketch")[0].bitwiseXOR(F.col(f"{b}.sketch")[0])))
-        sizes = F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent
-        return sizes, apart
 
+def _link(crowd: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    limit = sketch_limit(percent)
     for turn in range(STAR_ROUNDS):
         mixed = _mixed(crowd, labels)
-        # A centre for each bucket, another one in each round; a node tries the centres that most of its buckets name.
-        centre = mixed.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "comp", "n", "sketch")).alias("c")).select("key", "c.*").toDF("key", "_", "node", "comp", "n", "sketch")
+        # A centre for each bucket: first the member with the most company over all its buckets, then a random one.
+        rank = F.col("company") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        centre = mixed.groupBy("key").agg(F.max(F.struct(rank.alias("r"), "node", "comp", "n", "sketch")).alias("c")).select("key", "c.*")
         m, c = mixed.alias("m"), centre.alias("c")
-        sizes, apart = fits("m", "c")
+        sizes, apart = _fits("m", "c", percent)
         tries = m.join(c, F.col("m.key") == F.col("c.key")).where(F.col("m.comp") != F.col("c.comp")).where(sizes).select(F.col("m.node").alias("a"), F.col("c.node").alias("b"), apart.alias("apart")).where(F.col("apart") <= limit).distinct()
         best = tries.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("apart", "b"))).where(F.col("r") <= CENTRES_PER_ROUND)
         links = stage(_confirm(best.select("a", "b"), sets, percent), "links")
-        found = links.count()
-        if not found:
+        if links.isEmpty():
             break
         labels = stage(components(labels, links), "comps")
-    # What is left: every pair of a bucket across components, each once, confirmed best first.
+    # What is left: every pair of a bucket across components.
     mixed = _mixed(crowd, labels)
-    a, b = mixed.alias("a"), mixed.alias("b")
-    sizes, apart = fits("a", "b")
-    rest = a.join(b, F.col("a.key") == F.col("b.key")).where((F.col("a.comp") < F.col("b.comp")) & sizes & (apart <= limit)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), apart.alias("apart")).distinct()
-    rest = stage(rest.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("apart", "b"))), "rest")
-    most = rest.agg(F.max("r")).first()[0] or 0
-    low, width = 0, 4
-    while low < most:
-        by = labels.select(F.col("node").alias("a"), F.col("comp").alias("ca")), labels.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-        open_pairs = rest.where((F.col("r") > low) & (F.col("r") <= low + width)).join(by[0], "a").join(by[1], "b").where("ca <> cb").select("a", "b")
-        links = stage(_confirm(open_pairs, sets, percent), "links")
-        if not links.isEmpty():
-            labels = stage(components(labels, links), "comps")
-        low, width = low + width, width * 4
-    return labels
+    by_comp = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    facts = by_comp.groupBy("key").agg(F.sum("c").alias("total"), F.max(F.struct("c", "comp")).alias("top"))
+    facts = facts.select("key", "total", F.col("top.comp").alias("top"), F.ceil((F.col("total") - F.col("top.c")) / TILE).cast("int").alias("rows"), F.ceil(F.col("total") / TILE).cast("int").alias("cols"))
+    told = stage(mixed.join(facts, "key"), "rest")
+    small, large = told.where(F.col("total") <= SMALL_BUCKET), told.where(F.col("total") > SMALL_BUCKET)
+    # Small buckets: their few pairs as rows, each confirmed once.
+    a, b = small.alias("a"), small.alias("b")
+    sizes, apart = _fits("a", "b", percent)
+    pairs = a.join(b, F.col("a.key") == F.col("b.key")).where((F.col("a.comp") < F.col("b.comp")) & sizes & (apart <= limit)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    found = _confirm(pairs, sets, percent)
+    # Large ones: tiles of bounded size, compared inside a task; only links leave it. Rows are members outside the bucket's
+    # largest component, columns are all members.
+    spot = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    as_row = large.where(F.col("comp") != F.col("top")).select("key", spot("rows", 1).alias("i"), each("cols").alias("j"), F.lit(True).alias("side"), "node", "comp", "n", "sketch")
+    as_column = large.select("key", each("rows").alias("i"), spot("cols", 2).alias("j"), F.lit(False).alias("side"), "node", "comp", "n", "sketch")
+    tiles = as_row.unionByName(as_column).join(sets, "node")
+    found = found.union(tiles.groupBy("key", "i", "j").applyInArrow(_tile(percent, limit), "a bigint, b bigint"))
+    links = stage(found, "links")
+    return labels if links.isEmpty() else stage(components(labels, links), "comps")
+
+
+def _tile(percent: int, limit: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        side = table.column("side").to_numpy()
+        node, comp, n = (table.column(x).to_numpy() for x in ("node", "comp", "n"))
+        sketch = table.column("sketch").chunk(0).flatten().to_numpy().view(np.uint64).reshape(-1, 4)
+        lists = table.column("shingles").chunk(0)
+        bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        rows, cols = np.flatnonzero(side), np.flatnonzero(~side)
+        if not len(rows) or not len(cols):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        apart = np.zeros((len(rows), len(cols)), dtype=np.int16)
+        for k in range(4):
+            apart += np.bitwise_count(sketch[rows, k][:, None] ^ sketch[cols, k][None])
+        least, most = np.minimum(n[rows][:, None], n[cols][None]), np.maximum(n[rows][:, None], n[cols][None])
+        may = (comp[rows][:, None] != comp[cols][None]) & (apart <= limit) & (least * 100 >= most * percent)
+        rows, cols, may = rows[may.any(axis=1)], cols[may.any(axis=0)], may[may.any(axis=1)][:, may.any(axis=0)]
+        both = np.zeros(may.shape, dtype=np.float32)
+        if len(rows):
+            # Overlaps as products of incidence matrices, over the shingles in slices.
+            of = lambda some: (np.concatenate([values[bounds[i] : bounds[i + 1]] for i in some]), np.repeat(np.arange(len(some)), bounds[some + 1] - bounds[some]))
+            (va, ra), (vb, rb) = of(rows), of(cols)
+            shared = np.intersect1d(va, vb)
+            for at in range(0, len(shared), 2048):
+                part = shared[at : at + 2048]
+                x, y = np.zeros((len(rows), len(part)), np.float32), np.zeros((len(cols), len(part)), np.float32)
+                for m, v, r in ((x, va, ra), (y, vb, rb)):
+                    place = np.minimum(np.searchsorted(part, v), len(part) - 1)
+                    own = part[place] == v
+                    m[r[own], place[own]] = 1
+                both += x @ y.T
+        union = n[rows][:, None] + n[cols][None] - both
+        i, j = np.nonzero(may & (both * 100 >= union * percent))
+        return pa.table({"a": pa.array(node[rows[i]]), "b": pa.array(node[cols[j]])})
+
+    return run
 
 
 def _mixed(crowd: DataFrame, labels: DataFrame) -> DataFrame:
