@@ -6,8 +6,9 @@ online: at most OPEN_BINS bins are open, filed by free space, and a bitset of th
 tightest fit in one shift. When one more bin would have to open, the fullest one closes.
 
 Tokenising is cached by white-space-free chunk: the tokenizer's pattern never spans white space and its normaliser
-works chunk by chunk, so the ids of a text are those of its chunks. Chunks that aren't in the cache are encoded
-together by the tokenizer itself.
+works chunk by chunk, so the ids of a text are those of its chunks. A Latin-1 chunk that isn't in the cache is split
+into parts, which have a cache of their own and go through the tokenizer's merges; any other goes through the whole
+tokenizer.
 
 Edge cases: null or empty texts are the closing id alone; pieces of repeated rows are packed like any others; an empty
 table gives no rows; further columns are ignored.
@@ -15,8 +16,11 @@ table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import collections
 import itertools
+import json
 import os
+import re
 import zlib
 
 import numpy as np
@@ -29,10 +33,23 @@ from gleaner.llm.common import spread
 OPEN_BINS = 1024
 #: Pieces that one group packs, on average.
 GROUP_PIECES = 32_768
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS, CACHE_PARTS = 800_000, 400_000
 MISSES_AT_ONCE = 4096
 
 
+# The tokenizer's split pattern, restated for Latin-1 text.
+LATIN_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^ \\t-\\r\\x85\\xa00-9a-zA-Z\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def _latin(x: str) -> bool:
+    """Whether lower-casing and splitting x is plain: Latin-1, which normalising leaves alone, and no added token."""
+    try:
+        x.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "<|" not in x
+
+
 class ChunkEncoder:
     """Token ids of texts through a bounded cache of white-space-free chunks."""
 
@@ -41,24 +58,46 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            plain = json.load(f)
+        plain["normalizer"], plain["pre_tokenizer"] = None, plain["pre_tokenizer"]["pretokenizers"][-1]
+        # The merges alone, for parts that are normalised and split already.
+        self.merges = Tokenizer.from_str(json.dumps(plain))
         self.cache: dict[str, bytes] = {"": b""}
-
-    def learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), MISSES_AT_ONCE):
-            some = chunks[at : at + MISSES_AT_ONCE]
-            for chunk, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.cache[chunk] = np.array(e.ids, dtype="<u4").tobytes()
+        self.parts: dict[str, bytes] = {}
+
+    def _encoded(self, tokenizer, items: list[str]):
+        for at in range(0, len(items), MISSES_AT_ONCE):
+            some = items[at : at + MISSES_AT_ONCE]
+            for x, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                yield x, np.array(e.ids, dtype="<u4").tobytes()
+
+    def learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that aren't in the cache."""
+        out, split, other = {}, {}, []
+        for x in chunks:
+            if _latin(x):
+                split[x] = LATIN_PARTS.findall(x.lower())
+            else:
+                other.append(x)
+        new = dict(self._encoded(self.merges, sorted(set(itertools.chain.from_iterable(split.values())).difference(self.parts))))
+        known = collections.ChainMap(new, self.parts)
+        for x, parts in split.items():
+            out[x] = b"".join([known[p] for p in parts])
+        out |= self._encoded(self.tokenizer, other)
+        self.parts |= itertools.islice(new.items(), max(0, CACHE_PARTS - len(self.parts)))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [x.replace("\n", " ").split(" ") for x in texts]
-        missing = set(itertools.chain.from_iterable(split)).difference(self.cache)
-        if len(self.cache) + len(missing) > CACHE_CHUNKS:
-            # The chunks that came first are the frequent ones; keep the older half.
-            self.cache = dict(itertools.islice(self.cache.items(), CACHE_CHUNKS // 2))
-            missing = set(itertools.chain.from_iterable(split)).difference(self.cache)
-        self.learn(sorted(missing))
-        get = self.cache.__getitem__
+        split = [(x.lower() if _latin(x) else x).replace("\n", " ").split(" ") for x in texts]
+        known = self.cache
+        new = self.learn(sorted(set(itertools.chain.from_iterable(split)).difference(known)))
+        if len(known) + len(new) <= CACHE_CHUNKS:
+            known |= new
+        elif new:  # the chunks that came first are the frequent ones; later ones serve this call alone
+            known = known | new if len(known) < len(new) else collections.ChainMap(new, known)
+        get = known.__getitem__
         return [b"".join(map(get, x)) for x in split]
 
 
