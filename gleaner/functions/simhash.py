@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The multipliers of the shingle hash.
 FIRST, SECOND = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
@@ -30,7 +31,7 @@ def simhash_bytes(raw: bytes) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def _simhash(raw: pd.Series) -> pd.Series:
     return raw.map(lambda x: None if x is None else simhash_bytes(bytes(x))).astype("Int64")
 

@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RELEVANT = 0.6
 
@@ -100,7 +101,7 @@ class VectorTableEncoder:
 def embed(text: Column, encoder: Encoder) -> Column:
     """The encoder's vectors, a batch at a time; the encoder loads once in each worker."""
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(x: pd.Series) -> pd.Series:
         return pd.Series(list(encoder.encode(x.tolist())))
 

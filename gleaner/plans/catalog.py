@@ -1,6 +1,406 @@
-"""Registry of the engine's named queries and the SQL that checks them."""
+"""The engine's named queries over the stored tables, each with the DuckDB SQL that checks it."""
 
 from __future__ import annotations
 
+import json
+import os
+import shutil
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gleaner.functions.keywords import KeywordMatcher
+from gleaner.functions.llm import keywords_of, language_names, message_of, prompt, request_json
+from gleaner.functions.simhash import FIRST, SECOND, simhash
+from gleaner.functions.text import FINDING_TRIM, NO_FINDING, accepts, clean_keywords, html_plaintext, informative, language_list, normalize, parse_date, parse_length, utf8_truncate
+from gleaner.functions.vectors import HashEncoder, distance, embed, is_relevant, literal, similarity
+from gleaner.operators.counts import score_stats, term_weights, token_counts
+from gleaner.operators.dedup import dedup, fifo_dedup, near_dedup_pairs
+from gleaner.operators.select import EmbeddingSelector, KeywordSelector, select, waterfall
+from gleaner.operators.topk import bounded_topk, grouped_topk
+from gleaner.schema import CONTENT_BYTES, PROMPT_BYTES
+from gleaner.sources.tables import document_pages, web_pages
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+#: Sample settings of the registered queries.
+KEYWORDS = ["the", "license", "of", "und", "que", "lic"]
+WEIGHTS = {"the": 1.0, "license": 4.0, "of": 2.0, "und": 0.5, "que": 0.25}
+QUERY_TEXT = "the license of und que"
+LANGUAGES = ["eng", "deu"]
+SHINGLE_BYTES = 128
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # A single small file is one split; deal it out before costly expressions. Large tables have splits enough.
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 4) else df
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_pages(_table(spark, sf_dir, "documents"))
+
+
+_UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _cut(x: str, n: int) -> str:
+    """utf8_truncate in SQL."""
+    tries = ", ".join(f"try(decode(encode({x})[1:{n - k}]))" for k in range(4))
+    return f"CASE WHEN strlen({x}) <= {n} THEN {x} ELSE coalesce({tries}, '') END"
+
+
+_CODES = "CASE lang WHEN 'en' THEN 'eng' WHEN 'fr' THEN 'fra' WHEN 'de' THEN 'deu' WHEN 'es' THEN 'spa' ELSE coalesce(lang, '') END"
+_CONTENT = _cut("text", CONTENT_BYTES)
+_PAGES = f"pg AS (SELECT doc_id, 'doc://' || doc_id AS uri, {_CONTENT} AS content, {_CODES} AS languages, strlen(text)::BIGINT AS length FROM documents)"
+_ASCII = f"translate(content, '{_UP}', '{_LOW}')"
+# A flat alternation, longest first, finds what the trie finds.
+_FLAT = "|".join(sorted(KEYWORDS, key=lambda k: (-len(k), k)))
+_HITS = f"regexp_extract_all({_ASCII}, '{_FLAT}')"
+_WEIGHED_FLAT = "|".join(sorted(WEIGHTS, key=lambda k: (-len(k), k)))
+_WEIGHT_OF = "CASE m " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in WEIGHTS.items()) + " ELSE 0 END"
+_PLAIN = "html"
+for _pattern in ("(?s)<!--.*?-->", "(?is)<script\\b.*?</script>", "(?is)<style\\b.*?</style>", "<[^>]+>"):
+    _PLAIN = f"regexp_replace({_PLAIN}, '{_pattern}', ' ', 'g')"
+for _entity, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    _PLAIN = f"replace({_PLAIN}, '{_entity}', '{_char}')"
+_PLAIN = f"trim(regexp_replace({_PLAIN}, '[\\t-\\r \\x{{85}}\\p{{Z}}]+', ' ', 'g'))"
+_TOKENS = "regexp_extract_all(lower(text), '[\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Hangul}]|[\\p{L}\\p{N}]+')"
+
+
+@query(f"WITH {_PAGES} SELECT doc_id, languages, length FROM pg WHERE languages IN ('eng', 'deu')")
+def lang_filter(spark, sf_dir):
+    """Pages in a wanted language."""
+    return _pages(spark, sf_dir).where(accepts(F.col("languages"), LANGUAGES)).select("doc_id", "languages", "length")
+
+
+@query("SELECT doc_id, array_to_string(list_filter(list_transform(string_split(lang || ', x ,,' || source, ','), lambda x: trim(x)), lambda x: x <> ''), '|') AS listed FROM documents")
+def language_lists(spark, sf_dir):
+    """Comma lists split, trimmed, without blanks."""
+    listed = F.concat("lang", F.lit(", x ,,"), "source")
+    return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(language_list(listed), "|").alias("listed"))
+
+
+@query(f"SELECT doc_id, strlen({_CONTENT})::BIGINT AS full_bytes, {_cut('text', 101)} AS short FROM documents")
+def content_truncate(spark, sf_dir):
+    """Byte limits that keep whole characters."""
+    return _table(spark, sf_dir, "documents").select("doc_id", F.octet_length(utf8_truncate(F.col("text"), CONTENT_BYTES)).cast("bigint").alias("full_bytes"), utf8_truncate(F.col("text"), 101).alias("short"))
+
+
+@query(f"WITH {_PAGES} SELECT doc_id, len({_HITS})::BIGINT AS hits FROM pg")
+def keyword_count(spark, sf_dir):
+    """Keyword occurrences, leftmost-longest, A-Z folded."""
+    return _pages(spark, sf_dir).select("doc_id", KeywordMatcher(KEYWORDS).score(F.col("content")).alias("hits"))
+
+
+@query(f"WITH {_PAGES} SELECT doc_id, round(coalesce(list_sum(list_transform(regexp_extract_all({_ASCII}, '{_WEIGHED_FLAT}'), lambda m: ({_WEIGHT_OF})::DOUBLE)), 0), 6) AS weight FROM pg")
+def keyword_weighted(spark, sf_dir):
+    """A4: weights of the occurrences."""
+    return _pages(spark, sf_dir).select("doc_id", F.round(KeywordMatcher(WEIGHTS).score(F.col("content")), 6).alias("weight"))
+
+
+@query(f"WITH {_PAGES} SELECT doc_id, len({_HITS})::DOUBLE AS score FROM pg WHERE len({_HITS}) >= 4 ORDER BY score DESC, uri LIMIT 100")
+def keyword_topk(spark, sf_dir):
+    """The pages with most keywords."""
+    return select(KeywordSelector(KeywordMatcher(KEYWORDS), 100, 4), _pages(spark, sf_dir)).select("doc_id", "score")
+
+
+@query("SELECT doc_id, lang, n_chars FROM (SELECT doc_id, lang, n_chars::BIGINT AS n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS r FROM documents) WHERE r <= 5")
+def language_topk(spark, sf_dir):
+    """L1 by group: the longest documents of each language."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("n_chars").cast("bigint").alias("n_chars"))
+    return grouped_topk(docs, "lang", "n_chars", 5, ascending=False, tie="doc_id")
+
+
+@query(f"""
+WITH raw AS (SELECT doc_id, CASE WHEN strlen(text) <= {SHINGLE_BYTES} THEN encode(text) ELSE encode({_cut("text", SHINGLE_BYTES)}) END AS b FROM documents),
+hex AS (SELECT doc_id, hex(b) AS x, octet_length(b) AS n FROM raw),
+spots AS (SELECT doc_id, n, x, unnest(range(1, n - 1)) AS i FROM hex WHERE n >= 3),
+codes AS (SELECT doc_id, n, i::UHUGEINT AS i, ('0x' || substr(x, (2 * i - 1)::INT, 2))::UHUGEINT AS p, ('0x' || substr(x, (2 * i + 1)::INT, 2))::UHUGEINT AS q, ('0x' || substr(x, (2 * i + 3)::INT, 2))::UHUGEINT AS r FROM spots),
+h0 AS (SELECT doc_id, n, xor(xor(xor(p << 32, q << 16), r), i) AS h FROM codes),
+h1 AS (SELECT doc_id, n, (xor(h, h >> 33) * {FIRST}::UHUGEINT) % 18446744073709551616::UHUGEINT AS h FROM h0),
+h2 AS (SELECT doc_id, n, (xor(h, h >> 33) * {SECOND}::UHUGEINT) % 18446744073709551616::UHUGEINT AS h FROM h1),
+h3 AS (SELECT doc_id, n, xor(h, h >> 33) AS h FROM h2),
+votes AS (SELECT doc_id, k, sum(CASE WHEN (h >> k::UHUGEINT) % 2 = 1 THEN 1 ELSE -1 END) AS v FROM h3, (SELECT unnest(range(64)) AS k) GROUP BY doc_id, k),
+bits AS (SELECT doc_id, sum(CASE WHEN v > 0 THEN 1::HUGEINT << k::INT ELSE 0::HUGEINT END)::HUGEINT AS u FROM votes GROUP BY doc_id)
+SELECT d.doc_id, coalesce(CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END, 0)::BIGINT AS fingerprint FROM documents d LEFT JOIN bits b USING (doc_id)
+""")
+def simhash_prefix(spark, sf_dir):
+    """The fingerprint, over a short text so that SQL can follow."""
+    return _table(spark, sf_dir, "documents").select("doc_id", simhash(utf8_truncate(F.col("text"), SHINGLE_BYTES)).alias("fingerprint"))
+
+
+@query(f"WITH {_PAGES} SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY content ORDER BY length DESC, uri) AS r FROM pg) WHERE r = 1")
+def dedup_pages(spark, sf_dir):
+    """U1, J6, T2 for batches: one page for each fingerprint."""
+    return dedup(_pages(spark, sf_dir).withColumn("score", F.col("length").cast("double"))).select("doc_id")
+
+
+@query()
+def near_dedup_hamming(spark, sf_dir):
+    """Optional form of U1: pairs whose fingerprints differ in at most three bits."""
+    return near_dedup_pairs(_pages(spark, sf_dir), "doc_id")
+
+
+@query(f"WITH {_PAGES} SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY content ORDER BY doc_id) AS r FROM pg) WHERE r = 1")
+def dedup_fifo(spark, sf_dir):
+    """The sequential window, here larger than the table, so that SQL can follow."""
+    return fifo_dedup(_pages(spark, sf_dir).select("doc_id", "content"), "doc_id", 1 << 30, lanes=8).select("doc_id")
+
+
+@query(f"SELECT token, count(*) AS \"count\" FROM (SELECT unnest({_TOKENS}) AS token FROM documents) GROUP BY token")
+def token_count(spark, sf_dir):
+    """Tokens of all documents."""
+    return token_counts(_table(spark, sf_dir, "documents"), F.col("text"), assume_nfkc=True)
+
+
+@query(f"SELECT token, \"count\", round(1 / sqrt(\"count\"), 9) AS weight FROM (SELECT token, count(*) AS \"count\" FROM (SELECT unnest({_TOKENS}) AS token FROM documents) GROUP BY token) ORDER BY \"count\" DESC, token LIMIT 128")
+def term_weight(spark, sf_dir):
+    """Weights of the 128 most frequent terms."""
+    return term_weights(_table(spark, sf_dir, "documents"), F.col("text"), assume_nfkc=True).withColumn("weight", F.round("weight", 9))
+
+
+@query("SELECT doc_id, lower(text) AS normal FROM documents")
+def normalized(spark, sf_dir):
+    """NFKC and lower case (the tables' texts are in NFKC)."""
+    return _table(spark, sf_dir, "documents").select("doc_id", normalize(F.col("text")).alias("normal"))
+
+
+@query(f"SELECT page_id, {_PLAIN} AS plain FROM pages")
+def html_plain(spark, sf_dir):
+    """HTML to text."""
+    return _table(spark, sf_dir, "pages").select("page_id", html_plaintext(F.col("html")).alias("plain"))
+
+
+@query(f"SELECT page_id, url AS uri, {_cut('plain', CONTENT_BYTES)} AS content, strlen(html)::BIGINT AS length FROM (SELECT *, {_PLAIN} AS plain FROM pages)")
+def web_page_records(spark, sf_dir):
+    """D1 over web pages."""
+    return web_pages(_table(spark, sf_dir, "pages")).select("page_id", "uri", "content", "length")
+
+
+@query(f"SELECT string_agg(plain, chr(10) || chr(10) ORDER BY page_id) AS article FROM (SELECT page_id, {_PLAIN} AS plain FROM pages ORDER BY page_id LIMIT 8) WHERE plain <> ''")
+def seed_text(spark, sf_dir):
+    """The seed pages' texts joined by blank lines (eight seeds, as a crawl's settings name)."""
+    seeds = _table(spark, sf_dir, "pages").orderBy("page_id").limit(8).select("page_id", html_plaintext(F.col("html")).alias("plain")).where(F.length("plain") > 0)
+    return seeds.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "plain"))), lambda p: p["plain"]), "\n\n").alias("article"))
+
+
+def _rounded(x):
+    return F.round(x, 6) + F.lit(0.0)  # no negative zero
+
+
+def _query_vector(spark: SparkSession, sf_dir: str) -> list[float]:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").first().embedding
+
+
+_VECTOR = "q AS (SELECT embedding AS v FROM embeddings ORDER BY vec_id LIMIT 1)"
+_DISTANCE = "1 - list_dot_product(q.v::DOUBLE[], e.embedding::DOUBLE[])"
+
+
+@query(f"WITH {_VECTOR} SELECT vec_id, round({_DISTANCE}, 6) + 0.0 AS distance FROM embeddings e, q")
+def vector_distance(spark, sf_dir):
+    """Distance of every vector to a query."""
+    q = literal(_query_vector(spark, sf_dir))
+    return _table(spark, sf_dir, "embeddings").select("vec_id", _rounded(distance(q, F.col("embedding"))).alias("distance"))
+
+
+@query(f"WITH {_VECTOR} SELECT vec_id, round({_DISTANCE}, 6) + 0.0 AS distance FROM embeddings e, q ORDER BY {_DISTANCE}, vec_id LIMIT 50")
+def vector_topk(spark, sf_dir):
+    """The nearest vectors, nearest first."""
+    q = literal(_query_vector(spark, sf_dir))
+    near = _table(spark, sf_dir, "embeddings").select("vec_id", distance(q, F.col("embedding")).alias("distance"))
+    return bounded_topk(near, "distance", 50, tie="vec_id").withColumn("distance", _rounded(F.col("distance")))
+
+
+@query(f"WITH {_VECTOR} SELECT vec_id, round(1 - ({_DISTANCE}), 6) AS similarity FROM embeddings e, q WHERE 1 - ({_DISTANCE}) >= 0.6")
+def relevant(spark, sf_dir):
+    """Vectors of at least the threshold's similarity."""
+    q = literal(_query_vector(spark, sf_dir))
+    return _table(spark, sf_dir, "embeddings").where(is_relevant(q, F.col("embedding"))).select("vec_id", F.round(similarity(q, F.col("embedding")), 6).alias("similarity"))
+
+
+@query(f"WITH {_VECTOR}, s AS (SELECT {_DISTANCE} AS d FROM embeddings e, q) SELECT count(d) AS n, round(avg(d), 6) + 0.0 AS mean, round(stddev_pop(d), 6) + 0.0 AS std, round(min(d), 6) + 0.0 AS low, round(max(d), 6) + 0.0 AS high FROM s")
+def score_statistics(spark, sf_dir):
+    """A10: statistics of the distances."""
+    q = literal(_query_vector(spark, sf_dir))
+    stats = score_stats(_table(spark, sf_dir, "embeddings").select(distance(q, F.col("embedding")).alias("d")), "d")
+    return stats.select("n", *[_rounded(F.col(c)).alias(c) for c in ("mean", "std", "low", "high")])
+
+
+_RAW_TERMS = [" trend / breakout ", "趋势，突破", "x", "a" * 61, "trend", "moving average|rsi;macd"]
+
+
+@query("WITH raw AS (SELECT unnest([" + ", ".join(f"'{x}'" for x in _RAW_TERMS) + "]) AS r, generate_subscripts([" + ", ".join("1" for _ in _RAW_TERMS) + "], 1) AS i), pieces AS (SELECT i, generate_subscripts(p, 1) AS j, trim(unnest(p)) AS term FROM (SELECT i, regexp_split_to_array(r, '[,/|;、，]+') AS p FROM raw)), firsts AS (SELECT term, min(i * 1000 + j) AS o FROM pieces WHERE length(term) BETWEEN 2 AND 60 GROUP BY term) SELECT string_agg(term, '~' ORDER BY o) AS terms FROM firsts")
+def clean_keyword_list(spark, sf_dir):
+    """A model's keyword list made clean."""
+    return spark.range(1).select(F.array_join(clean_keywords(F.array(*[F.lit(x) for x in _RAW_TERMS])), "~").alias("terms"))
+
+
+_SOURCES = {"manual": {"eng": ["trend"], "fra": []}, "cache": {"eng": ["old"], "fra": ["tendance", "cassure"], "deu": []}, "made": {"deu": ["trend", "ausbruch"]}}
+
+
+@query("SELECT 'trend~tendance~cassure~ausbruch' AS terms, 3::BIGINT AS languages")
+def keyword_sources(spark, sf_dir):
+    """Each language's terms from the first source that has any, then joined in order."""
+    # Built of literals: the sources are settings, not data.
+    source = lambda name: F.from_json(F.lit(json.dumps(_SOURCES[name])), "map<string,array<string>>")
+    langs = spark.range(1).select(F.posexplode(F.array(*[F.lit(x) for x in ("eng", "fra", "deu")])).alias("at", "lang"))
+    some = lambda c: F.when(F.size(c) > 0, c)  # noqa: E731  an empty list counts as none
+    first = F.coalesce(*[some(F.element_at(source(n), F.col("lang"))) for n in ("manual", "cache", "made")])
+    rows = langs.select("at", first.alias("terms")).agg(F.array_sort(F.collect_list(F.struct("at", "terms"))).alias("all"), F.count("terms").alias("languages"))
+    return rows.select(F.array_join(clean_keywords(F.flatten(F.transform("all", lambda r: r["terms"]))), "~").alias("terms"), "languages")
+
+
+@query(f"WITH {_PAGES} SELECT doc_id, 'URI: ' || uri || chr(10) || 'LANGUAGE: ' || languages || chr(10) || 'SCORE: 0.5' || chr(10) || chr(10) || ({_cut('content', PROMPT_BYTES)}) AS prompt FROM pg")
+def prompt_render(spark, sf_dir):
+    """A page as shown to the model."""
+    return _pages(spark, sf_dir).withColumn("score", F.lit(0.5)).select("doc_id", prompt().alias("prompt"))
+
+
+_NO = ", ".join(f"'{x}'" for x in NO_FINDING)
+_TRIM = FINDING_TRIM.replace("'", "''")
+
+
+@query(f"SELECT conv_id, turn, trim(text, '{_TRIM}') <> '' AND lower(trim(text, '{_TRIM}')) NOT IN ({_NO}) AS told FROM (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN ' **None.** ' WHEN 1 THEN text WHEN 2 THEN '`空`' ELSE 'N/A' END AS text FROM conversations)")
+def informative_finding(spark, sf_dir):
+    """Whether a reply says anything."""
+    k = F.col("turn") % 4
+    text = F.when(k == 0, F.lit(" **None.** ")).when(k == 1, F.col("text")).when(k == 2, F.lit("`空`")).otherwise(F.lit("N/A"))
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", informative(text).alias("told"))
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN text ELSE role END AS said FROM conversations")
+def llm_message(spark, sf_dir):
+    """The reply's text, or its reasoning where the text is blank."""
+    content = F.when(F.col("turn") % 2 == 0, F.col("text")).otherwise(F.lit("  "))
+    reply = F.to_json(F.struct(F.array(F.struct(F.struct(content.alias("content"), F.col("role").alias("reasoning_content")).alias("message"))).alias("choices")))
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", message_of(reply).alias("said"))
+
+
+@query("SELECT conv_id, turn, role || '~trend' AS terms FROM conversations")
+def llm_keywords(spark, sf_dir):
+    """the keywords of a structured reply."""
+    reply = F.to_json(F.struct(F.array("role", F.lit("trend")).alias("keywords")))
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(keywords_of(reply), "~").alias("terms"))
+
+
+@query("SELECT conv_id, turn, text AS asked, 'm' AS model, false AS thinking FROM conversations")
+def llm_request(spark, sf_dir):
+    """The request's JSON, read back."""
+    body = request_json("m", "s", F.concat(F.lit("Read.\n\n"), F.col("text")))
+    back = F.from_json(body, "struct<model:string,messages:array<struct<role:string,content:string>>,enable_thinking:boolean>")
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", back.alias("b")).select("conv_id", "turn", F.expr("substr(b.messages[1].content, 8)").alias("asked"), F.col("b.model").alias("model"), F.col("b.enable_thinking").alias("thinking"))
+
+
+@query("SELECT doc_id, CASE lang WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German' ELSE 'Spanish' END || ', xx' AS names FROM documents")
+def language_name(spark, sf_dir):
+    """Codes to names, unknown ones as they are."""
+    return _pages(spark, sf_dir).select("doc_id", language_names(F.array("languages", F.lit("xx"))).alias("names"))
+
+
+@query("SELECT event_id, ts::TIMESTAMP AS day_time, CASE WHEN user_id % 2 = 0 THEN user_id ELSE -1 END AS parsed FROM (SELECT event_id, date_trunc('second', ts) AS ts, user_id FROM events)")
+def header_values(spark, sf_dir):
+    """dates and lengths of record headers; what isn't all digits is null."""
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    number = F.when(F.col("user_id") % 2 == 0, F.col("user_id").cast("string")).otherwise(F.concat(F.col("user_id").cast("string"), F.lit("x")))
+    return _table(spark, sf_dir, "events").select("event_id", parse_date(stamp).alias("day_time"), F.coalesce(parse_length(number), F.lit(-1)).alias("parsed"))
+
+
+@query("SELECT doc_id, substr(text, 1, 2000) AS head FROM documents")
+def char_prefix(spark, sf_dir):
+    """The first characters."""
+    return _table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 2000).alias("head"))
+
+
+@query("WITH p AS (SELECT count(*) AS pages FROM conversations), w AS (SELECT count(*) AS written FROM conversations WHERE role = 'assistant') SELECT pages, written FROM p, w")
+def page_counters(spark, sf_dir):
+    """Pages seen and written."""
+    return _table(spark, sf_dir, "conversations").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("role") == "assistant").alias("written"))
+
+
+@query(f"""
+WITH {_PAGES},
+best AS (SELECT doc_id, uri, content, len({_HITS})::DOUBLE AS k FROM pg WHERE languages IN ('eng', 'deu') AND len({_HITS}) >= 4 ORDER BY k DESC, uri LIMIT 200),
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY k DESC, uri) AS r FROM best) WHERE r = 1),
+tok AS (SELECT doc_id, t, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(content), '[\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}\\p{{Hangul}}]|[\\p{{L}}\\p{{N}}]+')) AS t FROM one) GROUP BY ALL),
+qt AS (SELECT unnest(string_split('{QUERY_TEXT}', ' ')) AS t),
+dims AS (SELECT unnest(range(64)) AS d),
+sign AS (SELECT t, d, CASE WHEN (('0x' || substr(md5(t), (d // 4 + 1)::INT, 1))::INT >> (3 - d % 4)::INT) % 2 = 1 THEN 1 ELSE -1 END AS s FROM (SELECT t FROM tok UNION SELECT t FROM qt), dims),
+dv AS (SELECT doc_id, d, sum(n * s)::DOUBLE AS v FROM tok JOIN sign USING (t) GROUP BY doc_id, d),
+qv AS (SELECT d, sum(s)::DOUBLE AS v FROM qt JOIN sign USING (t) GROUP BY d),
+dist AS (SELECT doc_id, 1 - sum(dv.v * qv.v) / sqrt(sum(dv.v * dv.v)) / sqrt(sum(qv.v * qv.v)) AS distance FROM dv JOIN qv USING (d) GROUP BY doc_id)
+SELECT doc_id, round(distance, 6) AS distance FROM dist JOIN one USING (doc_id) ORDER BY dist.distance, uri LIMIT 50
+""")
+def waterfall_query(spark, sf_dir):
+    """O1, L4: language, keywords, fingerprint, distance."""
+    kept = waterfall_stages(spark, sf_dir)
+    return kept.select("doc_id", F.round("score", 6).alias("distance"))
+
+
+def waterfall_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _pages(spark, sf_dir).where(accepts(F.col("languages"), LANGUAGES))
+    best = select(KeywordSelector(KeywordMatcher(KEYWORDS), 200, 4), pages)
+    return select(EmbeddingSelector(QUERY_TEXT, HashEncoder(), 50), dedup(best))
+
+
+@query()
+def waterfall_weighted(spark, sf_dir):
+    """The composed form with weights and no language filter."""
+    best = waterfall(_pages(spark, sf_dir), KeywordMatcher(WEIGHTS), QUERY_TEXT, HashEncoder(), 50)
+    return best.select("doc_id", F.round("score", 6).alias("distance"))
+
+
+@query()
+def wet_scan(spark, sf_dir):
+    """An archive written from the table, read by the data source."""
+    import gzip
+
+    from gleaner.sources.wet import read_wet
+
+    folder = tempfile.mkdtemp(prefix="gleaner-wet-", dir=os.environ.get("GLEANER_SCRATCH"))
+    try:
+        rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").limit(40).collect()
+        with gzip.open(f"{folder}/sample.warc.wet.gz", "wb") as f:
+            for r in rows:
+                body = r.text.encode()
+                head = f"WARC/1.0\r\nWARC-Type: conversion\r\nWARC-Target-URI: item://{r.item_id}\r\nWARC-Date: 2026-03-03T00:00:00Z\r\nWARC-Identified-Content-Language: eng\r\nContent-Length: {len(body)}\r\n\r\n"
+                f.write(head.encode() + body + b"\r\n\r\n")
+        found = read_wet(spark, folder, languages=["eng"]).select("uri", "content", "length").collect()
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+    return spark.createDataFrame(found, "uri string, content string, length bigint")
+
+
+@query()
+def stream_topk(spark, sf_dir):
+    """The running top-k of a stream, drained."""
+    from gleaner.streaming.flows import drain, landed, latest_topk, running_topk
+
+    path = f"{sf_dir}/documents.parquet"
+    folder = _scratch(spark)
+    stream = landed(spark, path, spark.read.parquet(path).schema).select("doc_id", F.octet_length("text").cast("double").alias("score"))
+    return drain(running_topk(stream, f"{folder}/state", f"{folder}/checkpoint", "score", 20, ascending=False, tie="doc_id"), lambda: latest_topk(spark, f"{folder}/state"))
+
+
+def _scratch(spark: SparkSession) -> str:
+    import uuid
+
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{named.rstrip('/')}/gleaner/{uuid.uuid4().hex}" if named else tempfile.mkdtemp(prefix="gleaner-stream-")
+
+
+QUERIES["waterfall"] = QUERIES.pop("waterfall_query")
+ORACLES["waterfall"] = ORACLES.pop("waterfall_query")

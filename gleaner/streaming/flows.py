@@ -17,8 +17,13 @@ from gleaner.operators.topk import bounded_topk
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 64) -> DataFrame:
-    """Parquet files of a folder as a stream; the bound on files is the back-pressure."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    """The Parquet files of a folder, or one file, as a stream; the bound on files is the back-pressure."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    files = spark.read.parquet(path).inputFiles()
+    if len(files) == 1 and files[0].endswith("/" + path.rstrip("/").rpartition("/")[2]):  # a file: its folder, and only it
+        folder, _, name = path.rpartition("/")
+        return reader.option("pathGlobFilter", name).parquet(folder or ".")
+    return reader.parquet(path)
 
 
 def running_topk(stream: DataFrame, state: str, checkpoint: str, score: str, k: int, ascending: bool = True, tie: str = "uri") -> StreamingQuery:
