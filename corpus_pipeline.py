@@ -50,13 +50,15 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; documents without any stay as they are."""
-    found = stage(secrets.scan(docs, "doc_id", "text").where(F.size("spans") > 0).select(F.col("id").alias("doc_id"), "spans").dropDuplicates(["doc_id"]), "secrets")
-    size = found.agg(F.sum(F.size("spans") + 4)).first()[0] or 0
-    spans = F.broadcast(found) if size <= BROADCAST_IDS else found
-    text = F.when(F.col("spans").isNotNull(), secrets.masked(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    out = docs.join(spans, "doc_id", "left").withColumn("text", text)
+    name = next(n for n in (f"spans_{i}" for i in range(len(docs.columns) + 1)) if n not in [c.lower() for c in docs.columns])
+    found = stage(secrets.scan(docs, "doc_id", "text").where(F.size("spans") > 0).select(F.col("id").alias("doc_id"), F.col("spans").alias(name)).dropDuplicates(["doc_id"]), "secrets")
+    size = found.agg(F.sum(F.size(name) + 4)).first()[0] or 0
+    out = docs.join(F.broadcast(found) if size <= BROADCAST_IDS else found, "doc_id", "left")
+    has = F.col(name).isNotNull()
+    text = F.when(has, secrets.masked(F.col("text"), F.col(name))).otherwise(F.col("text"))
+    out = out.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(has, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 
 

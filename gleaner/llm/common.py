@@ -45,5 +45,5 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def fold(id_col: str, parts: int):
-    """The fold of a row: CRC-32 of its id as text, modulo parts."""
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts))
+    """The fold of a row: CRC-32 of its id as text, modulo parts; -1 without an id."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts)), F.lit(-1))

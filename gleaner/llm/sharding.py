@@ -7,7 +7,7 @@ go to their shards; each shard permutes again, cell by cell, so that no task hol
 row at most, whatever the blocks hold, and only sizes of blocks (never rows) reach the driver.
 
 Edge cases: null ids and texts are rows like any others; rows that are equal in every column are interchangeable; an
-empty table gives no rows. New columns replace none: a clashing name in the input raises an error before any work.
+empty table gives no rows. Input columns named shard or slot are replaced.
 """
 
 from __future__ import annotations
@@ -66,10 +66,12 @@ def communication_matrix(rows: list[int], shards: int, seed: int) -> np.ndarray:
 
 
 def shard(docs: DataFrame, key_cols: list[str], shards: int = 8, seed: int = 20240307) -> DataFrame:
-    """docs with shard (int) and slot (long, gapless from 0 in each shard)."""
-    if clash := {"shard", "slot", "_block", "_order", "_rank", "_cell"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns {sorted(clash)} exist already")
+    """docs with shard (int) and slot (long, gapless from 0 in each shard); input columns of these names are replaced."""
     spark = docs.sparkSession
+    kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    # The row travels as one struct, so that no name of the input can clash with those used here.
+    docs = docs.select(F.struct(*kept).alias("row"), *[F.col(c).alias(f"key_{i}") for i, c in enumerate(key_cols)])
+    key_cols = [f"key_{i}" for i in range(len(key_cols))]
     blocks = int(min(MAX_BLOCKS, max(shards, -(-docs.count() // BLOCK_ROWS))))
     keyed = docs.withColumn("_block", F.pmod(F.xxhash64(*key_cols, F.lit(seed)), F.lit(blocks)).cast("int")).withColumn("_order", F.xxhash64(*key_cols, F.lit(seed + 1)))
     sizes = dict(keyed.groupBy("_block").count().collect())
@@ -92,4 +94,4 @@ def shard(docs: DataFrame, key_cols: list[str], shards: int = 8, seed: int = 202
     starts = spark.createDataFrame(rows, "shard int, _cell int, _begin bigint")
     in_cell = Window.partitionBy("shard", "_cell").orderBy("_order", *key_cols)
     out = placed.withColumn("_rank", F.row_number().over(in_cell) - 1).join(F.broadcast(starts), ["shard", "_cell"])
-    return out.select(*docs.columns, "shard", (F.col("_begin") + F.col("_rank")).cast("bigint").alias("slot"))
+    return out.select("row.*", "shard", (F.col("_begin") + F.col("_rank")).cast("bigint").alias("slot"))
