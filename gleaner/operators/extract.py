@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.config import Settings
@@ -34,8 +34,11 @@ def findings(pages: DataFrame, settings: Settings, client: LLMClient, system: st
 
 def write_findings(found: DataFrame, path: str, mode: str = "overwrite") -> dict[str, int]:
     """Informative findings, trimmed, each followed by a blank line, best first. Returns pages seen and findings written."""
-    seen = Observation("findings")
-    watched = found.observe(seen, F.count(F.lit(1)).alias("pages"), F.count_if(informative(F.col("finding"))).alias("written"))
-    kept = watched.where(informative(F.col("finding"))).withColumn("value", F.concat(F.regexp_replace("finding", f"^{BLANKS}|{BLANKS}$", ""), F.lit("\n")))
-    kept.orderBy("score", "uri").select("value").write.mode({"w": "overwrite", "a": "append"}.get(mode, mode)).text(path)
-    return {k: int(v or 0) for k, v in seen.get.items()}
+    found = found.persist()  # at most the shortlist's rows; the model is asked once a page
+    try:
+        kept = found.where(informative(F.col("finding"))).withColumn("value", F.concat(F.regexp_replace("finding", f"^{BLANKS}|{BLANKS}$", ""), F.lit("\n")))
+        kept.orderBy("score", "uri").select("value").write.mode({"w": "overwrite", "a": "append"}.get(mode, mode)).text(path)
+        told = found.agg(F.count(F.lit(1)).alias("pages"), F.count_if(informative(F.col("finding"))).alias("written")).first()
+        return told.asDict()
+    finally:
+        found.unpersist()
