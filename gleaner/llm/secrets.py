@@ -79,34 +79,45 @@ def upper_normal(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(1.5976) * z + F.lit(0.070565992) * z * z * z))
 
 
-def battery(token: Column) -> tuple[Column, Column]:
-    """(p-value under randomness, bits that the token carries at most) for its inferred encoding."""
-    body = F.regexp_replace(token, "=+$", "")
-    symbols = F.lit("")
-    for _, alphabet in reversed(ENCODINGS):
-        inside = "^[" + alphabet.replace("-", r"\-") + "]+$"
-        symbols = F.when(body.rlike(inside), F.lit(alphabet)).otherwise(symbols)
-    a, n = F.length(symbols).cast("double"), F.length(body).cast("double")
-    codes = F.transform(F.filter(F.split(body, ""), lambda c: c != ""), lambda c: F.call_function("instr", symbols, c).cast("double"))
-    distinct = F.array_distinct(codes)
-    squares = F.aggregate(F.transform(distinct, lambda d: F.pow(F.size(F.filter(codes, lambda c: c == d)).cast("double"), F.lit(2.0))), F.lit(0.0), lambda s, x: s + x)
-    # Chi-squared with a-1 degrees of freedom, to a normal by Wilson and Hilferty.
-    free = a - 1
-    chi = squares * a / n - n
-    z_chi = (F.cbrt(F.greatest(chi, F.lit(0.0)) / free) - (F.lit(1.0) - F.lit(2.0) / (F.lit(9.0) * free))) / F.sqrt(F.lit(2.0) / (F.lit(9.0) * free))
-    # Runs above and below the middle: changes between neighbours are n-1 fair coins under randomness.
-    neighbours = F.zip_with(F.slice(codes, F.lit(1), F.greatest(F.size(codes) - 1, F.lit(1))), F.slice(codes, F.lit(2), F.greatest(F.size(codes), F.lit(1))), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    neighbours = F.filter(neighbours, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
-    changes = F.size(F.filter(neighbours, lambda p: (p["x"] > a / 2) != (p["y"] > a / 2))).cast("double")
-    z_runs = F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4)
-    # Serial correlation against the alphabet's own mean and variance: its deviation is 1/sqrt(n-1) under randomness.
-    middle, spread = (a + 1) / 2, (a * a - 1) / 12
-    serial = F.aggregate(F.transform(neighbours, lambda p: (p["x"] - middle) * (p["y"] - middle)), F.lit(0.0), lambda s, x: s + x) / spread / F.sqrt(n - 1)
-    logs = -(F.ln(F.greatest(upper_normal(z_chi), F.lit(1e-30))) + F.ln(F.greatest(F.lit(2.0) * upper_normal(z_runs), F.lit(1e-30))) + F.ln(F.greatest(F.lit(2.0) * upper_normal(F.abs(serial)), F.lit(1e-30))))
-    x = F.greatest(logs, F.lit(0.0))
-    p = F.exp(-x) * (F.lit(1.0) + x + x * x / 2)  # Fisher: chi-squared with six degrees of freedom
-    ok = (F.length(symbols) > 0) & (n >= 8)
-    return F.when(ok, p).otherwise(F.lit(0.0)), F.when(ok, n * F.log2(a)).otherwise(F.lit(0.0))
+def let(value: Column, then) -> Column:
+    """then(value), with value worked out once and named once in the plan."""
+    return F.transform(F.array(value), then)[0]
+
+
+def battery(token: Column) -> Column:
+    """struct(p, bits): the p-value under randomness and the bits that the token carries at most, for its inferred encoding."""
+    symbols = lambda body: F.coalesce(*[F.when(body.rlike("^[" + alphabet.replace("-", r"\-") + "]+$"), F.lit(alphabet)) for _, alphabet in ENCODINGS], F.lit(""))
+    codes = lambda body, known: F.transform(F.filter(F.split(body, ""), lambda c: c != ""), lambda c: F.call_function("instr", known, c).cast("double"))
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+
+    def statistics(t: Column) -> Column:
+        a, n, c = t["a"], t["n"], t["codes"]
+        squares = total(F.transform(F.array_distinct(c), lambda d: F.pow(F.size(F.filter(c, lambda x: x == d)).cast("double"), F.lit(2.0))))
+        pairs = F.filter(F.zip_with(c, F.slice(c, F.lit(2), F.greatest(F.size(c), F.lit(1))), lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda p: p["y"].isNotNull())
+        return F.struct(a.alias("a"), n.alias("n"), (squares * a / n - n).alias("chi"), pairs.alias("pairs"))
+
+    def scores(t: Column) -> Column:
+        a, n, free = t["a"], t["n"], t["a"] - 1
+        # Chi-squared with a-1 degrees of freedom, to a normal by Wilson and Hilferty.
+        chi = (F.cbrt(F.greatest(t["chi"], F.lit(0.0)) / free) - (F.lit(1.0) - F.lit(2.0) / (F.lit(9.0) * free))) / F.sqrt(F.lit(2.0) / (F.lit(9.0) * free))
+        # Runs above and below the middle: changes between neighbours are n-1 fair coins under randomness.
+        changes = F.size(F.filter(t["pairs"], lambda p: (p["x"] > a / 2) != (p["y"] > a / 2))).cast("double")
+        runs = F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4)
+        # Serial correlation against the alphabet's own mean and variance: its deviation is 1/sqrt(n-1) under randomness.
+        serial = total(F.transform(t["pairs"], lambda p: (p["x"] - (a + 1) / 2) * (p["y"] - (a + 1) / 2))) / ((a * a - 1) / 12) / F.sqrt(n - 1)
+        least = F.lit(1e-30)
+        logs = F.ln(F.greatest(upper_normal(chi), least)) + F.ln(F.greatest(F.lit(2.0) * upper_normal(runs), least)) + F.ln(F.greatest(F.lit(2.0) * upper_normal(F.abs(serial)), least))
+        return F.struct((n * F.log2(a)).alias("bits"), F.greatest(-logs, F.lit(0.0)).alias("x"))
+
+    # Fisher: chi-squared with six degrees of freedom.
+    combined = lambda t: F.struct((F.exp(-t["x"]) * (F.lit(1.0) + t["x"] + t["x"] * t["x"] / 2)).alias("p"), t["bits"].alias("bits"))
+    none = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("bits"))
+
+    def tested(t: Column) -> Column:
+        facts = F.struct(F.length(t["known"]).cast("double").alias("a"), F.length(t["body"]).cast("double").alias("n"), codes(t["body"], t["known"]).alias("codes"))
+        return F.when((F.length(t["known"]) > 0) & (F.length(t["body"]) >= 8), let(let(let(facts, statistics), scores), combined)).otherwise(none)
+
+    return let(let(F.regexp_replace(token, "=+$", ""), lambda body: F.struct(body.alias("body"), symbols(body).alias("known"))), tested)
 
 
 def stratum(length: Column) -> Column:
@@ -143,8 +154,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     fresh = F.filter(runs, lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
 
     def tested(r: Column) -> Column:
-        p, bits = battery(F.substring(F.col("text"), r["start"] + 1, r["end"] - r["start"]))
-        return F.struct(r["start"].alias("start"), r["end"].alias("end"), p_bin(p).alias("bin"), (bits >= MIN_BITS).alias("enough"))
+        found = battery(F.substring(F.col("text"), r["start"] + 1, r["end"] - r["start"]))
+        return let(found, lambda f: F.struct(r["start"].alias("start"), r["end"].alias("end"), p_bin(f["p"]).alias("bin"), (f["bits"] >= MIN_BITS).alias("enough")))
 
     rows = stage(rows.withColumn("fresh", fresh).select("id", "base", F.transform("fresh", tested).alias("fresh")), "spans")
     grid = rows.where(F.size("fresh") > 0).select(F.explode("fresh").alias("r")).groupBy(stratum(F.col("r.end") - F.col("r.start")).alias("s"), F.col("r.bin").alias("b")).count()
