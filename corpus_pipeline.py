@@ -50,13 +50,16 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; documents without any stay as they are."""
-    name = next(n for n in (f"spans_{i}" for i in range(len(docs.columns) + 1)) if n not in [c.lower() for c in docs.columns])
-    found = stage(secrets.scan(docs, "doc_id", "text").where(F.size("spans") > 0).select(F.col("id").alias("doc_id"), F.col("spans").alias(name)).dropDuplicates(["doc_id"]), "secrets")
+    taken = {c.lower() for c in docs.columns}
+    name, key = [n for n in (f"_masked_{i}" for i in range(len(taken) + 2)) if n not in taken][:2]
+    # The id and the text's hash name a text even where ids repeat or are null.
+    keyed = docs.withColumn(key, F.struct("doc_id", F.xxhash64("text")))
+    found = secrets.scan(keyed, key, "text").where(F.size("spans") > 0).select(F.col("id").alias(key), F.col("spans").alias(name))
+    found = stage(found.dropDuplicates([key]), "secrets")
     size = found.agg(F.sum(F.size(name) + 4)).first()[0] or 0
-    out = docs.join(F.broadcast(found) if size <= BROADCAST_IDS else found, "doc_id", "left")
+    out = keyed.join(F.broadcast(found) if size <= BROADCAST_IDS else found, key, "left")
     has = F.col(name).isNotNull()
-    text = F.when(has, secrets.masked(F.col("text"), F.col(name))).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
+    out = out.withColumn("text", F.when(has, secrets.masked(F.col("text"), F.col(name))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(has, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(docs.columns)

@@ -156,9 +156,9 @@ def test_secrets(spark, docs, none):
 
 
 def test_random_run_is_found(spark):
-    rows = [(0, "see kwJalrXUtnFEMIK7MDENGbPx2fiCY9XvQpLEKz0Ya3 here"), (1, "see aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa here"), (2, "internationalizationandlocalizations")]
+    rows = [(0, "see kwJalrXUtnFEMIK7MDENGbPx2fiCY9XvQpLEKz0Ya3 here"), (1, "see zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz here"), (2, "internationalizationandlocalizations")]
     got = {r.id: [s.kind for s in r.spans] for r in secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert got[1] == [] and got[2] == []
+    assert got == {0: [3], 1: [], 2: []}
 
 
 def test_chat(spark, none):
@@ -201,7 +201,7 @@ def test_urls(spark, monkeypatch, bits):
 def test_leaks(spark, docs, none):
     item = "seven quick foxes jumped over nine lazy brown dogs while eleven owls watched in silence from tall trees"
     near = item.replace("quick", "fast").replace("tall", "high").replace("nine", "ten")
-    rows = [(1, LONG[:900] + item + " " + LONG[:900]), (2, LONG), (3, near.upper()), (4, None), (5, ""), (6, " ".join(reversed(item.split())))]
+    rows = [(1, LONG[:900] + " " + item + " " + LONG[:900]), (2, LONG), (3, near.upper()), (4, None), (5, ""), (6, " ".join(reversed(item.split())))]
     bench = spark.createDataFrame([(9, item), (10, item), (11, None), (12, "short"), (None, item)], "item_id bigint, text string")
     got = {r.doc_id: r for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
     assert set(got) == {1, 3} and got[1].item_id == 9 and got[1].share == 1.0
