@@ -114,14 +114,19 @@ def fit_svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> dict:
     """The hierarchy: languages, and for each pair of families or of languages in a family its weights and bias."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64("id"), "id")
-    chosen = known.select(F.col(id_col).alias("id"), lang_col).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_language)
+    ids = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
+    sizes = {r.lang: r["count"] for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages can't be learned")
+    # A language's share of hashes that holds about twice the rows wanted goes to the ranking, however common it is.
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2 * per_language / n))]) if sizes else F.create_map(F.lit(""), F.lit(1.0))
+    near = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id")
+    chosen = ids.where(near).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
     # At most per_language ids for each language.
     some = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi")
     rows = some.select("lang", "text").mapInArrow(_profiles, "lang string, index array<int>, share array<float>").collect()
     langs = sorted({r.lang for r in rows})
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; at most {MAX_LANGUAGES} can be learned")
     x = np.zeros((len(rows), DIMS), dtype=np.float32)
     for i, r in enumerate(rows):
         x[i, r["index"]] = r["share"]
