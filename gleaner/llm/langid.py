@@ -125,14 +125,17 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language
     chosen = ids.where(near).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
     # At most per_language ids for each language.
     some = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi")
-    rows = some.select("lang", "text").mapInArrow(_profiles, "lang string, index array<int>, share array<float>").collect()
-    langs = sorted({r.lang for r in rows})
-    x = np.zeros((len(rows), DIMS), dtype=np.float32)
-    for i, r in enumerate(rows):
-        x[i, r["index"]] = r["share"]
-    scale = np.sqrt(np.maximum(1e-12, (x**2).sum(axis=1))).mean() if len(rows) else 1.0
+    rows = some.select("lang", "text").mapInArrow(_profiles, "lang string, index array<int>, share array<float>").toArrow().combine_chunks()
+    named = np.array(rows.column("lang").to_pylist(), dtype=object)
+    langs = sorted(set(named))
+    x = np.zeros((len(named), DIMS), dtype=np.float32)
+    if len(named):
+        lists = rows.column("index").chunk(0)
+        of_row = np.repeat(np.arange(len(named)), np.diff(lists.offsets.to_numpy()))
+        x[of_row, lists.flatten().to_numpy()] = rows.column("share").chunk(0).flatten().to_numpy()
+    scale = np.sqrt(np.maximum(1e-12, np.einsum("ij,ij->i", x, x))).mean() if len(named) else 1.0
     x /= scale
-    label = np.array([langs.index(r.lang) for r in rows])
+    label = np.array([langs.index(a) for a in named], dtype=np.int64)
     family = np.array([family_of(x) for x in langs])
     models = []
 
@@ -143,7 +146,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language
             models.append((level, a, b, w / scale, bias))
 
     families = sorted(set(family))
-    if len(rows):
+    if len(named):
         pairwise("family", families, family[label])
         for f in families:
             pairwise(f, [x for x in langs if family_of(x) == f], np.array(langs)[label])
