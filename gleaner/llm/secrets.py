@@ -3,8 +3,9 @@
 Base spans come from three patterns. The method adds `random` spans: runs of token characters whose symbols look drawn
 at random. A run's encoding is inferred from its characters (digits, hex, base32, one-case alphanumerics, base62,
 base64), and three tests of randomness are made under that encoding: chi-squared uniformity of the symbols, runs above
-and below the alphabet's middle, and serial correlation of neighbouring symbols. Their p-values are combined (Fisher's
-sum of logarithms). Over all runs of the corpus and within each stratum of length, the Benjamini-Hochberg rule picks
+and below the alphabet's middle, and serial correlation of neighbouring symbols; runs under SHORT characters also have
+the shares of capitals, small letters and the rest tested. Their p-values are combined (Fisher's sum of logarithms).
+Runs without an encoding, with too few bits, or short and shaped like a word are left out. Over all other runs of the corpus and within each stratum of length, the Benjamini-Hochberg rule picks
 the runs that are not random at a false discovery rate of `rate`; the others, if they carry at least MIN_BITS bits,
 are reported. Strata and p-value bins are a fixed grid, so what the driver gathers doesn't grow.
 
@@ -16,6 +17,8 @@ all stay; a random run that touches a base span is not added; an empty table giv
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +31,21 @@ BASE = {
     "access": ("", r"AKIA[A-Z0-9]+", 18),
     "hex": ("", r"[0-9a-f]+", 16),
 }
-CANDIDATE = r"[A-Za-z0-9+/_=-]{24,}"
 RATE = 0.05
 MIN_BITS = 72.0
+#: Fewer symbols of the widest alphabet can't carry MIN_BITS.
+LEAST = math.ceil(MIN_BITS / 6)
+#: A run that fits base64 is whole; else its stretches between slashes that fit base64, else what fits base64url. An equals
+#: sign belongs to a run only as its padding.
+CANDIDATE = (
+    r"(?:(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{%d,}+(?![_-])"
+    r"|(?<![A-Za-z0-9+_-])[A-Za-z0-9+]{%d,}+(?![_-])"
+    r"|(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{%d,}+)(?:=++(?![A-Za-z0-9+/_-]))?" % (LEAST, LEAST, LEAST)
+)
+#: Below this length the three tests are weak, and the share of each class of symbols is tested as well.
+SHORT = 24
+#: Short runs of the shape of a word say nothing: long words of a language pass the tests too often.
+WORD = "^(?:[A-Z]?[a-z]+|[A-Z]+)$"
 #: p-value bins of the false discovery rule: tenths of a decade down to 1e-12.
 BINS = 120
 
@@ -89,12 +104,17 @@ def battery(token: Column) -> Column:
     symbols = lambda body: F.coalesce(*[F.when(body.rlike("^[" + alphabet.replace("-", r"\-") + "]+$"), F.lit(alphabet)) for _, alphabet in ENCODINGS], F.lit(""))
     codes = lambda body, known: F.transform(F.filter(F.split(body, ""), lambda c: c != ""), lambda c: F.call_function("instr", known, c).cast("double"))
     total = lambda values: F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+    # Capitals, small letters and the rest.
+    classes = lambda body: F.array(*[F.length(F.regexp_replace(body, others, "")).cast("double") for others in ("[^A-Z]", "[^a-z]", "[A-Za-z]")])
 
     def statistics(t: Column) -> Column:
         a, n, c = t["a"], t["n"], t["codes"]
         squares = total(F.transform(F.array_distinct(c), lambda d: F.pow(F.size(F.filter(c, lambda x: x == d)).cast("double"), F.lit(2.0))))
         pairs = F.filter(F.zip_with(c, F.slice(c, F.lit(2), F.greatest(F.size(c), F.lit(1))), lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda p: p["y"].isNotNull())
-        return F.struct(a.alias("a"), n.alias("n"), (squares * a / n - n).alias("chi"), pairs.alias("pairs"))
+        # Only short runs have classes.
+        uneven = total(F.zip_with(t["seen"], t["all"], lambda seen, some: F.when(some > 0, F.pow(seen - n * some / a, F.lit(2.0)) / (n * some / a)).otherwise(F.lit(0.0))))
+        free = F.size(F.filter(t["all"], lambda some: some > 0)) - 1
+        return F.struct(a.alias("a"), n.alias("n"), (squares * a / n - n).alias("chi"), pairs.alias("pairs"), uneven.alias("uneven"), free.alias("free"))
 
     def scores(t: Column) -> Column:
         a, n, free = t["a"], t["n"], t["a"] - 1
@@ -107,22 +127,24 @@ def battery(token: Column) -> Column:
         serial = total(F.transform(t["pairs"], lambda p: (p["x"] - (a + 1) / 2) * (p["y"] - (a + 1) / 2))) / ((a * a - 1) / 12) / F.sqrt(n - 1)
         least = F.lit(1e-30)
         logs = F.ln(F.greatest(upper_normal(chi), least)) + F.ln(F.greatest(F.lit(2.0) * upper_normal(runs), least)) + F.ln(F.greatest(F.lit(2.0) * upper_normal(F.abs(serial)), least))
-        return F.struct((n * F.log2(a)).alias("bits"), F.greatest(-logs, F.lit(0.0)).alias("x"))
+        # Chi-squared with one or two degrees of freedom.
+        share = F.when(t["free"] == 2, -t["uneven"] / 2).when(t["free"] == 1, F.ln(F.greatest(F.lit(2.0) * upper_normal(F.sqrt(t["uneven"])), least))).otherwise(F.lit(0.0))
+        return F.struct((n * F.log2(a)).alias("bits"), F.greatest(-logs - share, F.lit(0.0)).alias("x"), (t["free"] > 0).alias("fourth"))
 
-    # Fisher: chi-squared with six degrees of freedom.
-    combined = lambda t: F.struct((F.exp(-t["x"]) * (F.lit(1.0) + t["x"] + t["x"] * t["x"] / 2)).alias("p"), t["bits"].alias("bits"))
+    # Fisher: chi-squared with six degrees of freedom, or eight with the fourth test.
+    combined = lambda t: F.struct((F.exp(-t["x"]) * (F.lit(1.0) + t["x"] + t["x"] * t["x"] / 2 + F.when(t["fourth"], F.pow(t["x"], F.lit(3.0)) / 6).otherwise(F.lit(0.0)))).alias("p"), t["bits"].alias("bits"))
     none = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("bits"))
 
     def tested(t: Column) -> Column:
-        facts = F.struct(F.length(t["known"]).cast("double").alias("a"), F.length(t["body"]).cast("double").alias("n"), codes(t["body"], t["known"]).alias("codes"))
+        facts = F.struct(F.length(t["known"]).cast("double").alias("a"), F.length(t["body"]).cast("double").alias("n"), codes(t["body"], t["known"]).alias("codes"), *[F.when(F.length(t["body"]) < SHORT, classes(t[c])).otherwise(F.array().cast("array<double>")).alias(name) for c, name in (("body", "seen"), ("known", "all"))])
         return F.when((F.length(t["known"]) > 0) & (F.length(t["body"]) >= 8), let(let(let(facts, statistics), scores), combined)).otherwise(none)
 
     return let(let(F.regexp_replace(token, "=+$", ""), lambda body: F.struct(body.alias("body"), symbols(body).alias("known"))), tested)
 
 
 def stratum(length: Column) -> Column:
-    """Lengths by octaves: 24-31, 32-63, 64-127 and so on."""
-    return F.least(F.floor(F.log2(length.cast("double"))).cast("int"), F.lit(20))
+    """Lengths by octaves: 24-31, 32-63, 64-127 and so on; short runs by octaves of their own."""
+    return F.least(F.floor(F.log2(length.cast("double"))).cast("int"), F.lit(20)) + F.when(length < SHORT, 32).otherwise(0)
 
 
 def p_bin(p: Column) -> Column:
@@ -153,17 +175,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     runs = F.when(F.col("text").rlike(CANDIDATE), matches(F.col("text"), "", CANDIDATE, 1, KINDS.index("random"))).otherwise(F.array().cast(_SPAN))
     fresh = F.filter(runs, lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
 
+    token = lambda r: F.substring(F.col("text"), r["start"] + 1, r["end"] - r["start"])
+    fresh = F.filter(fresh, lambda r: (r["end"] - r["start"] >= SHORT) | ~token(r).rlike(WORD))
+
     def tested(r: Column) -> Column:
-        found = battery(F.substring(F.col("text"), r["start"] + 1, r["end"] - r["start"]))
+        found = battery(token(r))
         return let(found, lambda f: F.struct(r["start"].alias("start"), r["end"].alias("end"), p_bin(f["p"]).alias("bin"), (f["bits"] >= MIN_BITS).alias("enough")))
 
-    rows = stage(rows.withColumn("fresh", fresh).select("id", "base", F.transform("fresh", tested).alias("fresh")), "spans")
+    rows = stage(rows.withColumn("fresh", fresh).select("id", "base", F.filter(F.transform("fresh", tested), lambda f: f["enough"]).alias("fresh")), "spans")
+    # A run of no encoding, or of too few bits to be reported, is no hypothesis of the rule.
     grid = rows.where(F.size("fresh") > 0).select(F.explode("fresh").alias("r")).groupBy(stratum(F.col("r.end") - F.col("r.start")).alias("s"), F.col("r.bin").alias("b")).count()
     limit = thresholds({(r.s, r.b): r["count"] for r in grid.collect()}, rate)
     rejected = F.create_map(*[F.lit(x) for pair in limit.items() for x in pair]) if limit else F.create_map(F.lit(-1), F.lit(0))
 
     def stays(r: Column) -> Column:
-        return r["enough"] & (r["bin"] < F.coalesce(F.element_at(rejected, stratum(r["end"] - r["start"])), F.lit(BINS + 1)))
+        return (r["bin"] < F.coalesce(F.element_at(rejected, stratum(r["end"] - r["start"])), F.lit(BINS + 1)))
 
     added = F.transform(F.filter("fresh", stays), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), F.lit(KINDS.index("random")).alias("kind")))
     ordered = F.array_sort(F.concat("base", added), lambda x, y: F.when(x["start"] != y["start"], x["start"] - y["start"]).otherwise(x["kind"] - y["kind"]))

@@ -161,6 +161,15 @@ def test_random_run_is_found(spark):
     assert got == {0: [3], 1: [], 2: []}
 
 
+def test_random_run_behind_equals_slash_and_short(spark):
+    key = "wJalrXUtnFEMI/K7MDENG/bPx2fiCY9XvQpLEKz0Ya3"
+    short = ["q7Zp0XvB3kLr9TfW2mYs", "Hx4Vd8Rb1Nq6Z"]
+    rows = [(0, f"AWS_SECRET_ACCESS_KEY={key}"), (1, f"?sig={key[:40]}"), (2, "https://x.org/my-app/q7Zp0XvB3kLr9TfW2mYsHx4Vd8Rb"), (3, f"a {short[0]} b"), (4, f"a {short[1]} b"), (5, "internationalisation Internationalisation"), (6, f"{key}= done"), (7, "my-app/some-other/path_to=that-page/and_more")]
+    texts = dict(rows)
+    got = {r.id: [texts[r.id][s.start : s.end] for s in r.spans] for r in secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {0: [key], 1: [key[:40]], 2: ["q7Zp0XvB3kLr9TfW2mYsHx4Vd8Rb"], 3: short[:1], 4: short[1:], 5: [], 6: [key + "="], 7: []}
+
+
 def test_chat(spark, none):
     rows = [(1, 0, "system", "be & kind"), (1, 1, "user", "<|im_start|>x\n<|im_end|>"), (1, 2, "assistant", "&lt;|ok|> <"), (2, 0, None, None), (2, 0, "assistant", "twin"), (2, 0, "assistant", "twin"), (None, 0, "user", "x"), (3, 0, "ro\nle", LONG)] + [(4, i, ["system", "user", "assistant"][(i > 0) + (i > 0 and i % 2 == 0)], f"word {i} " * 60) for i in range(30)]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("window", F.lit("clash"))
