@@ -20,32 +20,43 @@ BROADCAST_IDS = 1_000_000
 LEAST_SURE = 0.2
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the ids: a broadcast up to BROADCAST_IDS of them, a shuffled join beyond."""
-    ids = stage(ids.distinct(), "drop")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a key of each id and text, and the key's name: ids may repeat or be null."""
+    taken = {c.lower() for c in docs.columns}
+    name = next(n for n in (f"_row_{i}" for i in range(len(taken) + 1)) if n not in taken)
+    # A null leaves the hash as it is, so each value is hashed with whether it is there.
+    return docs.withColumn(name, F.xxhash64(F.isnull("doc_id"), "doc_id", F.isnull("text"), "text")), name
+
+
+def _without(keyed: DataFrame, key: str, rejected: DataFrame) -> DataFrame:
+    """docs without the rejected keys: a broadcast up to BROADCAST_IDS of them, a shuffled join beyond."""
+    rejected = stage(rejected.toDF(key).distinct(), "drop")
+    return keyed.join(F.broadcast(rejected) if rejected.count() <= BROADCAST_IDS else rejected, key, "left_anti").drop(key)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects what has no recognisable language."""
     known = docs.select("doc_id", "text", "lang")
     model = langid.fit(known.where(fold("doc_id", 3) != 1), "doc_id", "text", "lang")
-    said = langid.predict(known.select("doc_id", "text"), model, "doc_id", "text")
-    rejected = said.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SURE)).select(F.col("id").alias("doc_id"))
-    return _without(docs.where(F.col("doc_id").isNotNull()), rejected)
+    keyed, key = _keyed(docs.where(F.col("doc_id").isNotNull()))
+    said = langid.predict(keyed.select(key, "text"), model, key, "text")
+    return _without(keyed, key, said.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SURE)).select("id"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: shingles of five words, similarity 0.8 or more."""
-    found = stage(minhash.near_duplicates(docs, shingle=5, percent=80), "near")
-    kept = _without(docs, found.where(~F.col("kept")).select("doc_id"))
-    unique = found.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty()
-    return kept if unique else kept.dropDuplicates(["doc_id"])
+    """One text of each group stays, the one with the smallest key: shingles of five words, similarity 0.8 or more."""
+    keyed, key = _keyed(docs)
+    found = stage(minhash.near_duplicates(keyed, key, shingle=5, percent=80), "near")
+    # Only rows of one id and one text share a key.
+    if not found.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty():
+        keyed = keyed.dropDuplicates([key])
+    return _without(keyed, key, found.where(~F.col("kept")).select("doc_id"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return _without(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    keyed, key = _keyed(docs)
+    return _without(keyed, key, decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), key).select("doc_id"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

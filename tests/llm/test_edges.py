@@ -240,6 +240,16 @@ def test_stages(spark, docs, none, small):
     assert corpus_pipeline.mask_secrets(spark, secret, small).where("text like '%abcdefghijklmnop%' or (text is not null and n_chars <> length(text))").count() == 0
 
 
+def test_stages_drop_texts_not_ids(spark, small):
+    leak = spark.read.parquet(f"{small}/benchmark.parquet").orderBy("item_id").first().text
+    one, two = "seven quick foxes jumped over nine lazy dogs at dawn", "the old mill by the river grinds corn for bread"
+    df = spark.createDataFrame([(7, "", "en"), (7, one, "en"), (8, one, "en"), (9, leak, "en"), (9, two, "en"), (None, "a third text of some other words entirely", "en")], "doc_id bigint, text string, lang string")
+    texts = lambda out: collections.Counter(r.text for r in out.collect())
+    assert texts(corpus_pipeline.identify_language(spark, df, small)) == collections.Counter(r.text for r in df.where("doc_id is not null and text <> ''").collect())
+    assert texts(corpus_pipeline.drop_near_duplicates(spark, df, small)) == dict.fromkeys((r.text for r in df.collect()), 1)
+    assert texts(corpus_pipeline.drop_leaks(spark, df, small)) == collections.Counter(r.text for r in df.where("text <> '" + leak.replace("'", "\\'") + "'").collect())
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_as_sql(spark, small, name):
     assert norm([r.asDict() for r in QUERIES[name](spark, small).collect()]) == norm(oracle(ORACLES[name], small))
