@@ -33,7 +33,8 @@ def simhash_bytes(raw: bytes) -> int:
 
 @F.pandas_udf(T.LongType())
 def _simhash(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda x: None if x is None else simhash_bytes(bytes(x))).astype("Int64")
+    # Not by map: beside a null it would make doubles, which round 64-bit values.
+    return pd.Series([None if x is None else simhash_bytes(bytes(x)) for x in raw], index=raw.index, dtype="Int64")
 
 
 def simhash(content: Column) -> Column:

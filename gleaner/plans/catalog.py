@@ -139,10 +139,16 @@ bits AS (SELECT doc_id, sum(CASE WHEN v > 0 THEN 1::HUGEINT << k::INT ELSE 0::HU
 SELECT d.doc_id, coalesce(CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END, 0)::BIGINT AS fingerprint FROM documents d LEFT JOIN bits b USING (doc_id)
 """)
 def simhash_prefix(spark, sf_dir):
-    """The fingerprint, over a short text so that SQL can follow."""
+    """The fingerprint of a short prefix, the part of simhash_text that SQL can follow."""
     return _table(spark, sf_dir, "documents").select("doc_id", simhash(utf8_truncate(F.col("text"), SHINGLE_BYTES)).alias("fingerprint"))
 
 
+@query()
+def simhash_text(spark, sf_dir):
+    """The fingerprint of the whole text."""
+    return _table(spark, sf_dir, "documents").select("doc_id", simhash(F.col("text")).alias("fingerprint"))
+
+
 @query(f"WITH {_PAGES} SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY content ORDER BY length DESC, uri) AS r FROM pg) WHERE r = 1")
 def dedup_pages(spark, sf_dir):
     """U1, J6, T2 for batches: one page for each fingerprint."""

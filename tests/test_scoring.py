@@ -57,6 +57,15 @@ def test_simhash_known(spark, text, fp):
     assert spark.createDataFrame([(text,)], "x string").select(simhash(F.col("x")).alias("y")).first().y == fp
 
 
+def test_simhash_query_reads_whole_texts(spark, tmp_path):
+    from gleaner.plans.catalog import QUERIES
+
+    texts = ["word " * 100 + "a", "word " * 100 + "another end", "é" * 300, "ab", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.fingerprint for r in QUERIES["simhash_text"](spark, str(tmp_path)).collect()}
+    assert got == {i: None if t is None else slow_simhash(t.encode()) for i, t in enumerate(texts)} and got[0] != got[1]
+
+
 def test_seen_set():
     seen = SeenSet(2)
     assert [seen.admit(x) for x in "AABCA"] == [True, False, True, True, True]
