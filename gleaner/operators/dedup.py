@@ -50,6 +50,14 @@ def near_dedup_pairs(df: DataFrame, key: str, content: str = "content", bits: in
     return joined.select(F.col("a.k").alias("left"), F.col("b.k").alias("right"), hamming(F.col("a.fp"), F.col("b.fp")).alias("bits")).distinct()
 
 
+def near_dedup_members(df: DataFrame, key: str, content: str = "content") -> DataFrame:
+    """left, right, bits as near_dedup_pairs has them: a row for each row of df, with the smallest key of its fingerprint as left and 0 bits."""
+    marked = df.select(F.col(key).alias("right"), simhash(F.col(content)).alias("fp"))
+    first = marked.groupBy("fp").agg(F.min("right").alias("left")).withColumnRenamed("fp", "of")
+    # A join and no window: a fingerprint of many rows can be split.
+    return marked.join(first, F.col("fp").eqNullSafe(F.col("of"))).select("left", "right", F.lit(0).alias("bits"))
+
+
 def fifo_dedup(df: DataFrame, order: str, capacity: int, content: str = "content", lanes: int = 1) -> DataFrame:
     """The sequential window: rows in `order`, each admitted unless the last `capacity` admitted fingerprints hold its own.
 

@@ -16,7 +16,7 @@ from gleaner.functions.simhash import FIRST, SECOND, simhash
 from gleaner.functions.text import FINDING_TRIM, NO_FINDING, accepts, clean_keywords, html_plaintext, informative, language_list, normalize, parse_date, parse_length, utf8_truncate
 from gleaner.functions.vectors import HashEncoder, distance, embed, is_relevant, literal, similarity
 from gleaner.operators.counts import score_stats, term_weights, token_counts
-from gleaner.operators.dedup import dedup, fifo_dedup, near_dedup_pairs
+from gleaner.operators.dedup import dedup, fifo_dedup, near_dedup_members, near_dedup_pairs
 from gleaner.operators.select import EmbeddingSelector, KeywordSelector, select, waterfall
 from gleaner.operators.topk import bounded_topk, grouped_topk
 from gleaner.schema import CONTENT_BYTES, PROMPT_BYTES
@@ -157,8 +157,9 @@ def dedup_pages(spark, sf_dir):
 
 @query()
 def near_dedup_hamming(spark, sf_dir):
-    """Optional form of U1: pairs whose fingerprints differ in at most three bits."""
-    return near_dedup_pairs(_pages(spark, sf_dir), "doc_id")
+    """Optional form of U1: each document with its representative (0 bits), and pairs of these that differ in one to three bits."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup_members(docs, "doc_id", "text").union(near_dedup_pairs(docs, "doc_id", "text"))
 
 
 @query(f"WITH {_PAGES} SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY content ORDER BY doc_id) AS r FROM pg) WHERE r = 1")
