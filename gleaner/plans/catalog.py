@@ -379,16 +379,17 @@ def wet_scan(spark, sf_dir):
 
     folder = tempfile.mkdtemp(prefix="gleaner-wet-", dir=os.environ.get("GLEANER_SCRATCH"))
     try:
-        rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").limit(40).collect()
+        rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").toLocalIterator()
         with gzip.open(f"{folder}/sample.warc.wet.gz", "wb") as f:
             for r in rows:
                 body = r.text.encode()
                 head = f"WARC/1.0\r\nWARC-Type: conversion\r\nWARC-Target-URI: item://{r.item_id}\r\nWARC-Date: 2026-03-03T00:00:00Z\r\nWARC-Identified-Content-Language: eng\r\nContent-Length: {len(body)}\r\n\r\n"
                 f.write(head.encode() + body + b"\r\n\r\n")
-        found = read_wet(spark, folder, languages=["eng"]).select("uri", "content", "length").collect()
+        found = f"{_scratch(spark)}/wet"
+        read_wet(spark, folder, languages=["eng"]).select("uri", "content", "length").write.parquet(found)
     finally:
         shutil.rmtree(folder, ignore_errors=True)
-    return spark.createDataFrame(found, "uri string, content string, length bigint")
+    return spark.read.parquet(found)
 
 
 @query()

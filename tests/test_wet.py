@@ -51,3 +51,11 @@ def test_paths(spark, tmp_path):
     (tmp_path / "one.wet.gz").write_bytes(gzip.compress(record("a", "text")))
     index.write_bytes(gzip.compress(b"one.wet.gz\n"))
     assert read_wet(spark, str(index), root=f"{tmp_path}/").count() == 1
+
+
+def test_scan_reads_every_item(spark, tmp_path):
+    from gleaner.plans.catalog import QUERIES
+
+    items = [(i, f"item é {i}") for i in range(60)]
+    spark.createDataFrame(items, "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted((r.uri, r.content) for r in QUERIES["wet_scan"](spark, str(tmp_path)).collect()) == sorted((f"item://{i}", t) for i, t in items)
