@@ -16,7 +16,7 @@ from gleaner.llm.q_packing import tokenizer_path
 
 #: Ids that a broadcast may hold: eight bytes each.
 BROADCAST_IDS = 1_000_000
-#: Below this score of the weakest decision a text counts as no language.
+#: Below this score of the weakest decision a text counts as no language; with two classes on each level none is below.
 LEAST_SURE = 0.2
 
 
