@@ -15,8 +15,8 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-#: Bytes of text handled at once; a longer text makes a block of its own.
-BLOCK_BYTES = 1 << 20
+#: Bytes of text handled at once, few enough for scratch arrays to stay in a cache; a longer text makes a block of its own.
+BLOCK_BYTES = 1 << 17
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -60,14 +60,22 @@ def pair(a: np.ndarray, b: np.ndarray, salt: int = 0) -> np.ndarray:
     return mix(a * np.uint64(0xD6E8FEB86659FD93) + mix(b + np.uint64((0x9E3779B97F4A7C15 * (salt + 1)) & MASK)))
 
 
-def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets of the rows' ends and starts) over runs of rows of about limit bytes."""
+def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all rows, offsets of the rows' starts and ends) of a string or binary array."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     body = texts.buffers()[2]
     body = np.frombuffer(body, dtype=np.uint8) if body is not None and body.size else np.zeros(0, dtype=np.uint8)
+    return body[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets of the rows' ends and starts) over runs of rows of about limit bytes."""
+    if not len(texts):
+        return
+    body, offsets = flat(texts)
     at = 0
     while at < len(texts):
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
