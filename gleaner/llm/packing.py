@@ -1,53 +1,124 @@
 """Bounded-space online best-fit packing of tokenised documents (operator 2).
 
-Documents become token ids plus a closing id; only those longer than a sequence are cut. Pieces are dealt to groups of
-bounded size by a hash, so that arrival order is random but the same after a lost executor, and each group is packed
-online: at most OPEN_BINS bins are open, filed by free space, and a bitset of the free spaces in use finds the
-tightest fit in one shift. When one more bin would have to open, the fullest one closes.
+Documents become token ids plus a closing id; only those longer than a sequence are cut. Pieces are written to the
+shared folder and dealt to groups of bounded size by a hash that takes in the piece's place in that table, so that equal
+rows spread out, arrival order is random, and it is the same after a lost executor. Each group is packed online: at most
+OPEN_BINS bins are open, filed by free space, and a bitset of the free spaces in use finds the tightest fit in one
+shift. When one more bin would have to open, the fullest one closes.
 
-Tokenising is cached by white-space-free chunk: the tokenizer's pattern never spans white space and its normaliser
-works chunk by chunk, so the ids of a text are those of its chunks. A Latin-1 chunk that isn't in the cache is split
-into parts, which have a cache of their own and go through the tokenizer's merges; any other goes through the whole
-tokenizer.
+Tokenising goes by chunk. Latin-1 texts are lower-cased and split into the tokenizer's parts (runs of letters, digits,
+other signs) over their bytes; what isn't in the cache goes through the tokenizer's merges. Other texts are split at
+white space, which the tokenizer's pattern never spans, and go through the whole tokenizer. Chunks are told apart by
+Arrow; each distinct one is looked up once a block in a bounded cache, and ids are laid out by array operations.
 
 Edge cases: null or empty texts are the closing id alone; pieces of repeated rows are packed like any others; an empty
-table gives no rows; further columns are ignored.
+table gives no rows; further columns are ignored; a very long text is a block of its own.
 """
 
 from __future__ import annotations
 
-import collections
+import array
 import itertools
 import json
 import os
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import spread
+from gleaner.llm import bytetext
+from gleaner.llm.common import spread, stage
 
 OPEN_BINS = 1024
 #: Pieces that one group packs, on average.
 GROUP_PIECES = 32_768
-CACHE_CHUNKS, CACHE_PARTS = 800_000, 400_000
-MISSES_AT_ONCE = 4096
-
-
-# The tokenizer's split pattern, restated for Latin-1 text.
-LATIN_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^ \\t-\\r\\x85\\xa00-9a-zA-Z\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-
-
-def _latin(x: str) -> bool:
-    """Whether lower-casing and splitting x is plain: Latin-1, which normalising leaves alone, and no added token."""
-    try:
-        x.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return "<|" not in x
+#: Chunks whose ids a worker keeps, and chunks that are encoded at once.
+CACHE_CHUNKS, MISSES_AT_ONCE = 400_000, 4096
+#: Bytes of text encoded at once.
+BLOCK_BYTES = 2 << 20
+
+
+# The tokenizer's split pattern for Latin-1 text. What is no letter, digit or space is a sign; a digit is a part
+# of its own, and an apostrophe alone takes one of these endings along.
+SPACES = "\t\n\v\f\r \x85\xa0"
+DIGITS = "0123456789\u00b2\u00b3\u00b9\u00bc\u00bd\u00be"
+FEMININE, MICRO, MASCULINE, TIMES, DIVIDED = "\u00aa", "\u00b5", "\u00ba", "\u00d7", "\u00f7"
+ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
+
+SPACE, LETTER, DIGIT, SIGN = range(4)
+
+
+def _kind(char: str) -> int:
+    if char in SPACES:
+        return SPACE
+    if char in DIGITS:
+        return DIGIT
+    return LETTER if char in (FEMININE, MICRO, MASCULINE) or char.isalpha() and char not in (TIMES, DIVIDED) else SIGN
+
+
+#: The kind of each ASCII byte, and of a continuation byte behind each of the two bytes that begin the rest of Latin-1.
+_ONE = np.array([_kind(chr(i)) if i < 128 else SPACE for i in range(256)], dtype=np.uint8)
+_TWO = np.array([[_kind(chr(64 * (lead & 3) + (i & 63))) for i in range(256)] for lead in (0xC2, 0xC3)], dtype=np.uint8)
+
+
+def latin_parts(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(parts of all rows, bounds of the rows) of lower-cased Latin-1 text in UTF-8; offsets bound its rows."""
+    low = bytetext.LOWER[raw]
+    kind = _ONE[raw]
+    lead = np.flatnonzero(raw >= 0xC2)
+    follows = lead + 1
+    kind[lead] = kind[follows] = _TWO[raw[lead] - 0xC2, raw[follows]]
+    # Capitals of the second block are 32 places before their small letters.
+    capital = follows[(raw[lead] == 0xC3) & (raw[follows] < 0x9F) & (raw[follows] != 0x97)]
+    low[capital] += 32
+    starts = np.empty(len(raw), dtype=bool)
+    starts[:1] = True
+    starts[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    starts[offsets[:-1][offsets[:-1] < len(raw)]] = True
+    starts[follows] = False
+    mark = np.flatnonzero(low == ord("'"))
+    mark = mark[starts[mark] & (mark + 1 < len(raw))]
+    mark = mark[starts[mark + 1] & (kind[mark + 1] == LETTER)]
+    mark = mark[~np.isin(mark + 1, offsets)]
+    row_end = offsets[np.searchsorted(offsets, mark, side="right")]
+    for ending in ENDINGS:
+        spot = mark + 1
+        fits = spot + len(ending) <= row_end
+        for k, char in enumerate(ending.encode()):
+            fits &= low[np.minimum(spot + k, len(raw) - 1)] == char
+        spot = spot[fits]
+        starts[spot] = False
+        after = spot + len(ending)
+        after = after[after < row_end[fits]]
+        starts[after[kind[after] == LETTER]] = True
+    inside = kind != SPACE
+    starts &= inside
+    at = np.flatnonzero(starts)
+    place = np.cumsum(inside, dtype=np.int32)
+    data = low[inside]
+    bounds = np.append(place[at] - 1, len(data)).astype(np.int32)
+    parts = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    return parts, np.searchsorted(at, offsets)
+
+
+class _Cache:
+    """Chunk to its place in bounds; the chunks' ids stand one after the other."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.ids, self.bounds = array.array("I"), array.array("q", [0])
+
+    def add(self, chunks: list[str], ids: array.array, ends: array.array) -> None:
+        """The chunks that come first are the frequent ones; a full cache stays as it is."""
+        chunks = chunks[: CACHE_CHUNKS - len(self.place)]
+        if chunks:
+            self.place.update(zip(chunks, range(len(self.place), len(self.place) + len(chunks))))
+            base = len(self.ids)
+            self.ids.extend(ids[: ends[len(chunks)]])
+            self.bounds.extend(base + x for x in ends[1 : len(chunks) + 1])
 
 
 class ChunkEncoder:
@@ -63,42 +134,73 @@ class ChunkEncoder:
         plain["normalizer"], plain["pre_tokenizer"] = None, plain["pre_tokenizer"]["pretokenizers"][-1]
         # The merges alone, for parts that are normalised and split already.
         self.merges = Tokenizer.from_str(json.dumps(plain))
-        self.cache: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
-
-    def _encoded(self, tokenizer, items: list[str]):
-        for at in range(0, len(items), MISSES_AT_ONCE):
-            some = items[at : at + MISSES_AT_ONCE]
-            for x, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                yield x, np.array(e.ids, dtype="<u4").tobytes()
-
-    def learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that aren't in the cache."""
-        out, split, other = {}, {}, []
-        for x in chunks:
-            if _latin(x):
-                split[x] = LATIN_PARTS.findall(x.lower())
+        self.caches = {True: _Cache(), False: _Cache()}
+
+    def learn(self, chunks: list[str], tokenizer) -> tuple[array.array, array.array]:
+        """(ids of all chunks in a row, where each chunk's end) of chunks that aren't in the cache."""
+        ids, ends = array.array("I"), array.array("q", [0])
+        for at in range(0, len(chunks), MISSES_AT_ONCE):
+            for e in tokenizer.encode_batch_fast(chunks[at : at + MISSES_AT_ONCE], add_special_tokens=False):
+                ids.extend(e.ids)
+                ends.append(len(ids))
+        return ids, ends
+
+    def _looked_up(self, chunks: pa.Array, plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks in a row, bounds of the chunks). Parts of plain texts and chunks of others have caches of their own."""
+        cache = self.caches[plain]
+        told = chunks.dictionary_encode()
+        names, codes = told.dictionary.to_pylist(), told.indices.to_numpy()
+        place = np.array(list(map(cache.place.get, names, itertools.repeat(-1))), dtype=np.int64)
+        new = np.flatnonzero(place < 0)
+        fresh = [names[i] for i in new.tolist()]
+        ids, ends = self.learn(fresh, self.merges if plain else self.tokenizer)
+        known, bounds, fresh_ends = (np.frombuffer(x, k) for x, k in ((cache.ids, np.uint32), (cache.bounds, np.int64), (ends, np.int64)))
+        old = np.flatnonzero(place >= 0)
+        starts, sizes = np.empty(len(names), np.int64), np.empty(len(names), np.int64)
+        starts[old], sizes[old] = bounds[place[old]], bounds[place[old] + 1] - bounds[place[old]]
+        starts[new], sizes[new] = fresh_ends[:-1] + len(known), np.diff(fresh_ends)
+        counts = sizes[codes]
+        edge = np.concatenate([[0], np.cumsum(counts)])
+        spots = np.repeat(starts[codes] - edge[:-1], counts) + np.arange(edge[-1])
+        out = np.concatenate([known, np.frombuffer(ids, np.uint32)])[spots]
+        del known, bounds  # views that keep the cache from growing
+        cache.add(fresh, ids, ends)
+        return out, edge
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, bounds of the texts)."""
+        raw, offsets = bytetext.flat(texts)
+        # In UTF-8 only what is beyond Latin-1 begins with a byte of 0xC4 or more.
+        odd = np.flatnonzero(raw >= 0xC4)
+        plain = np.ones(len(texts), dtype=bool)
+        plain[np.searchsorted(offsets, odd, side="right") - 1] = False
+        plain &= ~pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        if plain.all():
+            parts, rows = latin_parts(raw, offsets)
+            ids, edge = self._looked_up(parts, True)
+            return ids, edge[rows]
+        own = []
+        for which in (True, False):
+            some = texts.filter(pa.array(plain == which))
+            if which:
+                parts, rows = latin_parts(*bytetext.flat(some))
             else:
-                other.append(x)
-        new = dict(self._encoded(self.merges, sorted(set(itertools.chain.from_iterable(split.values())).difference(self.parts))))
-        known = collections.ChainMap(new, self.parts)
-        for x, parts in split.items():
-            out[x] = b"".join([known[p] for p in parts])
-        out |= self._encoded(self.tokenizer, other)
-        self.parts |= itertools.islice(new.items(), max(0, CACHE_PARTS - len(self.parts)))
-        return out
+                lists = pc.split_pattern(pc.replace_substring(some, "\n", " "), " ")
+                parts, rows = lists.flatten(), lists.offsets.to_numpy()
+            ids, edge = self._looked_up(parts, which)
+            own.append((ids, edge[rows]))
+        # Back in the order of the texts.
+        sizes, starts = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
+        for which, (_, bounds) in zip((True, False), own):
+            sizes[plain == which] = np.diff(bounds)
+            starts[plain == which] = bounds[:-1] + (0 if which else len(own[0][0]))
+        edge = np.concatenate([[0], np.cumsum(sizes)])
+        return np.concatenate([own[0][0], own[1][0]])[np.repeat(starts - edge[:-1], sizes) + np.arange(edge[-1])], edge
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [(x.lower() if _latin(x) else x).replace("\n", " ").split(" ") for x in texts]
-        known = self.cache
-        new = self.learn(sorted(set(itertools.chain.from_iterable(split)).difference(known)))
-        if len(known) + len(new) <= CACHE_CHUNKS:
-            known |= new
-        elif new:  # the chunks that came first are the frequent ones; later ones serve this call alone
-            known = known | new if len(known) < len(new) else collections.ChainMap(new, known)
-        get = known.__getitem__
-        return [b"".join(map(get, x)) for x in split]
+        ids, bounds = self.encode_array(pa.array(texts, pa.string()))
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -111,38 +213,27 @@ def encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
-def _groups_of(texts: list[str], chars: int):
-    at = 0
-    while at < len(texts):
-        end, total = at, 0
-        while end < len(texts) and (end == at or total + len(texts[end]) <= chars):
-            total += len(texts[end])
-            end += 1
-        yield at, end
-        at = end
-
-
 def _pieces(path: str, capacity: int, closing: int):
-    end_bytes = np.array([closing], dtype="<u4").tobytes()
-
     def run(batches):
-        encode = encoder(path).encode
+        made = encoder(path)
         for batch in batches:
-            ids = batch.column(0)
-            texts = batch.column(1).to_pylist()
-            for at, end in _groups_of(texts, 1 << 20):
-                rows, piece, start, length, crc = [], [], [], [], []
-                for i, raw in enumerate(encode(texts[at:end])):
-                    raw += end_bytes
-                    for k, low in enumerate(range(0, len(raw), 4 * capacity)):
-                        part = raw[low : low + 4 * capacity]
-                        rows.append(at + i)
-                        piece.append(k)
-                        start.append(low // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
+            ids, texts = batch.column(0), batch.column(1)
+            for at, end, _, _ in bytetext.blocks(texts, BLOCK_BYTES):
+                tokens, bounds = made.encode_array(texts.slice(at, end - at))
+                # Each text's ids and the closing one.
+                closed = np.insert(tokens, bounds[1:], closing).astype("<u4")
+                bounds = bounds + np.arange(len(bounds))
+                sizes = np.diff(bounds)
+                count = -(-sizes // capacity)
+                row = np.repeat(np.arange(end - at), count)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                start = piece * capacity
+                length = np.minimum(capacity, sizes[row] - start)
+                low = bounds[row] + start
+                view = memoryview(closed).cast("B")
+                crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(low.tolist(), (low + length).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+                    [ids.slice(at, end - at).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
@@ -196,9 +287,10 @@ def _pack(capacity: int, open_bins: int):
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, closing: int = 0, id_col: str = "doc_id", text_col: str = "text", open_bins: int = OPEN_BINS) -> DataFrame:
     """Pieces with doc_id, piece, start, length, ids_crc32, and their sequence_id and offset."""
-    groups = max(1, -(-docs.count() // GROUP_PIECES))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    pieces = spread(texts).mapInArrow(_pieces(tokenizer_path, capacity, closing), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
-    order = F.xxhash64("doc_id", "piece", "ids_crc32")
+    pieces = stage(spread(texts).mapInArrow(_pieces(tokenizer_path, capacity, closing), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"), "pieces")
+    groups = max(1, -(-pieces.count() // GROUP_PIECES))
+    # The place in the written table tells equal pieces apart.
+    order = F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())
     dealt = pieces.withColumn("order", order).withColumn("bin_group", F.pmod(F.xxhash64("order", F.lit(7)), F.lit(groups)))
     return dealt.groupBy("bin_group").applyInArrow(_pack(capacity, open_bins), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
