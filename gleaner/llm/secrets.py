@@ -5,9 +5,14 @@ at random. A run's encoding is inferred from its characters (digits, hex, base32
 base64), and three tests of randomness are made under that encoding: chi-squared uniformity of the symbols, runs above
 and below the alphabet's middle, and serial correlation of neighbouring symbols; runs under SHORT characters also have
 the shares of capitals, small letters and the rest tested. Their p-values are combined (Fisher's sum of logarithms).
-Runs without an encoding, with too few bits, or short and shaped like a word are left out. Over all other runs of the corpus and within each stratum of length, the Benjamini-Hochberg rule picks
-the runs that are not random at a false discovery rate of `rate`; the others, if they carry at least MIN_BITS bits,
-are reported. Strata and p-value bins are a fixed grid, so what the driver gathers doesn't grow.
+Runs without an encoding, with too few bits, or short and shaped like a word are left out.
+
+False discoveries are controlled within each stratum of length, on both sides. Benjamini and Hochberg's rule picks the
+runs that are not random at a false discovery rate of `rate`; they go. Of what stays, the share that randomness does not
+explain is estimated (Storey: p-values of random runs are uniform, so those above LAMBDA tell how many random runs there
+are), and the least p-value that is reported is raised until that share, the false discovery rate of the reported set, is
+at most `rate` too. Runs that are left and carry at least MIN_BITS bits are reported. Strata and p-value bins are a fixed
+grid, so what the driver gathers doesn't grow.
 
 Positions are code points, end exclusive. Lengths of gaps and matches alternate, so positions are running sums.
 
@@ -46,6 +51,8 @@ CANDIDATE = (
 SHORT = 24
 #: Short runs of the shape of a word say nothing: long words of a language pass the tests too often.
 WORD = "^(?:[A-Z]?[a-z]+|[A-Z]+)$"
+#: Above this p-value nearly all runs are random ones.
+LAMBDA = 0.5
 #: p-value bins of the false discovery rule: tenths of a decade down to 1e-12.
 BINS = 120
 
@@ -57,18 +64,26 @@ def matches(text: Column, head: str, body: str, least: int, kind: int) -> Column
     whole = head + body
     # Gaps and matches alternate.
     gaps, hits = F.split(text, whole, -1), F.regexp_extract_all(text, F.lit(f"({whole})"), F.lit(1))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    pairs = F.zip_with(F.slice(gaps, 1, F.greatest(F.size(hits), F.lit(1))), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
+    pairs = F.filter(pairs, lambda p: p["hit"].isNotNull())
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.length(pair["gap"])
         end = start + F.length(pair["hit"])
-        tail = F.length(F.regexp_extract(pair["hit"], f"({body})$", 1)) if head else F.length(pair["hit"])
+        # The head takes what it can first, as in the search; the body is the rest.
+        tail = F.length(F.regexp_extract(pair["hit"], f"^{head}({body})$", 1)) if head else F.length(pair["hit"])
         span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"))
         return F.struct(end.alias("at"), F.when(tail >= least, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.greatest(F.size(hits), F.lit(1))), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    pairs = F.filter(pairs, lambda p: p["hit"].isNotNull())
-    return F.aggregate(pairs, zero, step)["out"]
+    def stretch(acc: Column, some: Column) -> Column:
+        inner = F.aggregate(some, F.struct(acc["at"].alias("at"), F.array().cast(_SPAN).alias("out")), step)
+        return let(inner, lambda i: F.struct(i["at"].alias("at"), F.array_append(acc["out"], i["out"]).alias("out")))
+
+    # Appending copies an array: a stretch of about the root of all matches at a time keeps that far from their square.
+    width = lambda p: F.ceil(F.sqrt(F.size(p))).cast("int")
+    some = lambda p: F.transform(F.sequence(F.lit(0), width(p) - 1), lambda i: F.slice(p, i * width(p) + 1, width(p)))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    return let(pairs, lambda p: F.when(F.size(p) > 0, F.flatten(F.aggregate(some(p), zero, stretch)["out"])).otherwise(F.array().cast(_SPAN)))
 
 
 def found(text: Column, guard: str, head: str, body: str, least: int, kind: int) -> Column:
@@ -152,15 +167,20 @@ def p_bin(p: Column) -> Column:
 
 
 def thresholds(counts: dict[tuple[int, int], int], rate: float = RATE) -> dict[int, int]:
-    """For each stratum the first p-value bin that Benjamini and Hochberg reject (BINS + 1: none)."""
+    """For each stratum the first p-value bin that is not reported (BINS + 1: all are)."""
     out = {}
     for s in {k[0] for k in counts}:
-        total = sum(n for (t, _), n in counts.items() if t == s)
-        below, first = 0, BINS + 1
-        for b in range(BINS, -1, -1):  # from the smallest p-values up
-            below += counts.get((s, b), 0)
+        own = [counts.get((s, b), 0) for b in range(BINS + 1)]
+        total, below, first = sum(own), 0, BINS + 1
+        for b in range(BINS, -1, -1):  # Benjamini and Hochberg, from the smallest p-values up
+            below += own[b]
             if below and 10 ** (-b / 10) * total <= rate * below:
                 first = b
+        # Storey: what uniform p-values above the bound don't explain of the reported runs.
+        high = next(b for b in range(BINS) if 10 ** (-(b + 1) / 10) < LAMBDA)
+        random = (sum(own[:high]) + 1) / (1 - 10 ** (-high / 10))
+        while first and sum(own[:first]) - random * (1 - 10 ** (-first / 10)) > rate * sum(own[:first]):
+            first -= 1
         out[s] = first
     return out
 
