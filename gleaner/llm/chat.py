@@ -1,17 +1,18 @@
 """Chat formatting in budgeted windows (operator 8): DataFrame functions only.
 
-A conversation's turns are laid out by prefix sums of their tokens: with the system turn and the repeated history set
-aside, each window takes the turns whose prefix sums fall into its share of the budget, so windows are aligned to turns
-and need no sequential pass. A window holds the system turn, up to `history` turns repeated from before, and its own
-turns; the loss mask covers the assistant turns that are its own, so each is learned once.
+A conversation's turns are laid out by prefix sums of their tokens. With the leading system turn set aside, a turn of more
+than a third of the budget has a window of its own; the others share windows of the turns whose prefix sums begin in the
+same two thirds of a budget. A window's own turns thus fit the budget, and windows are aligned to turns without a
+sequential pass. A window holds the system turn, up to `history` turns repeated from before as far as what is left of
+the budget goes, and its own turns; the loss mask covers the assistant turns that are its own, so each is learned once.
 
 A turn is written as <|im_start|>role newline text <|im_end|> newline. Inside roles and texts `&` becomes `&amp;` and
 `<|` becomes `&lt;|` (in roles also a newline `&#10;`), which can be undone and leaves no control string.
 
-A turn with more tokens than a share makes its window longer than the budget: turns are never cut or dropped.
+Turns are never cut or dropped: only a turn that with the system turn is over the budget makes its window longer.
 
 Edge cases: null roles and texts are empty; rows without a conversation id are one conversation with a null id; rows of
-one turn number follow each other by role and text; an empty table gives no rows.
+one turn number follow each other by role and text; an empty table gives no rows; a very long text is one turn.
 """
 
 from __future__ import annotations
@@ -51,21 +52,38 @@ def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
     rows = rows.withColumn("piece", F.concat(F.lit(START), _role_out(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(END + "\n")))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     # One pass over a conversation's sorted turns gives all that follows.
-    rows = rows.withColumn("n", F.row_number().over(order)).withColumn("before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    first = F.struct("role", "piece", "tokens")
-    rows = rows.withColumn("first", F.first(first).over(order)).withColumn("past", F.collect_list(F.struct("n", "piece")).over(order.rowsBetween(-history, -1)))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One exchange and one sort of a conversation's turns give all that follows.
+    rows = rows.withColumn("n", F.row_number().over(order)).withColumn("first", F.first(F.struct("role", "piece", "tokens")).over(order))
+    rows = rows.withColumn("past", F.collect_list(F.struct("n", "piece", "tokens")).over(order.rowsBetween(-history, -1)))
     system = F.col("first.role") == "system"
-    share = F.greatest(F.lit(1), F.lit(budget) - F.when(system, F.col("first.tokens")).otherwise(0)) * F.lit(2) / F.lit(3)  # the last third is for repeated turns
-    rows = rows.withColumn("window", F.floor(F.coalesce("before", F.lit(0)) / share).cast("int")).withColumn("system", system)
+    rows = rows.withColumn("space", F.greatest(F.lit(1), F.lit(budget) - F.when(system, F.col("first.tokens")).otherwise(0)))
+    rows = rows.withColumn("cost", F.when(system & (F.col("n") == 1), 0).otherwise(F.col("tokens")).cast("bigint")).withColumn("system", system)
+    rows = rows.withColumn("before", F.coalesce(F.sum("cost").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("long", F.col("cost") * 3 > F.col("space"))
+    # Long turns stand alone; between them the sums begin anew.
+    rows = rows.withColumn("edge", F.col("long") | F.lag("long", 1, True).over(order))
+    rows = rows.withColumn("place", F.floor((F.col("before") - F.max(F.when(F.col("edge"), F.col("before"))).over(so_far)) * 3 / (F.col("space") * 2)))
+    rows = rows.withColumn("fresh", F.col("edge") | (F.col("place") != F.lag("place").over(order)))
+    rows = rows.withColumn("window", (F.sum(F.col("fresh").cast("int")).over(so_far) - 1).cast("int"))
     own = rows.groupBy("conv_id", "window").agg(
         F.sort_array(F.collect_list(F.struct("n", "piece", "role"))).alias("own"),
         F.min(F.struct("n", "past")).alias("open"),
+        F.sum("cost").alias("cost"),
+        F.first("space").alias("space"),
         F.first("system").alias("system"),
-        F.first("first.piece").alias("system_piece"),
+        F.first("first").alias("first"),
     )
-    repeat = F.filter(F.col("open.past"), lambda p: ~F.col("system") | (p["n"] > 1))
-    head = F.when(F.col("system") & (F.col("open.n") > 1), F.array("system_piece")).otherwise(F.array().cast("array<string>"))
-    own = own.withColumn("lead", F.concat(head, F.transform(F.when(F.col("open.n") > 1, repeat).otherwise(F.array().cast(own.schema["open"].dataType["past"].dataType)), lambda p: p["piece"])))
+    later = F.col("open.n") > 1
+    pieces = F.array().cast("array<string>")
+
+    def back(acc: Column, p: Column) -> Column:
+        """The turn before what is taken already, unless a nearer one was too long or it is the system turn."""
+        fits = (p["tokens"] <= acc["left"]) & ~(F.col("system") & (p["n"] == 1))
+        return F.when(fits, F.struct((acc["left"] - p["tokens"]).alias("left"), F.concat(F.array(p["piece"]), acc["out"]).alias("out"))).otherwise(F.struct(F.lit(-1).cast("bigint").alias("left"), acc["out"].alias("out")))
+
+    repeat = F.aggregate(F.reverse("open.past"), F.struct((F.col("space") - F.col("cost")).alias("left"), pieces.alias("out")), back)["out"]
+    head = F.when(F.col("system") & later, F.array("first.piece")).otherwise(pieces)
+    own = own.withColumn("lead", F.concat(head, F.when(later, repeat).otherwise(pieces)))
     lead_chars = F.length(F.array_join("lead", ""))
     # Where each own turn begins, by a running sum over the window's few turns.
     state = F.struct(lead_chars.cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("loss"))
