@@ -15,11 +15,13 @@ _own_dir: str | None = None
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names in spark.checkpoint.dir; a folder of our own only where it is unset."""
+    """The shared folder that the session names in spark.checkpoint.dir; on one machine, a folder of our own where it is unset."""
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _own_dir is None or not os.path.isdir(_own_dir):
         _own_dir = tempfile.mkdtemp(prefix="gleaner-")
         atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
@@ -29,9 +31,21 @@ def staging_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{staging_dir(spark)}/gleaner/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_dir(spark)}/gleaner/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def release(*staged: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for df in staged:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
