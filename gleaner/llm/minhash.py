@@ -6,16 +6,20 @@ words than a shingle, the whole sequence is the one shingle. Two documents are l
 
 Signatures: one permutation sigma (a 64-bit bijection folded to 2**20 places) scatters the shingles; a second
 permutation pi, shifted circularly by k, gives coordinate k as min pi[place - k]. With pi doubled at its end, all
-coordinates of a shingle are one contiguous row of memory.
+coordinates of a shingle are one contiguous row of memory. Shingles of one place only make signatures agree more, so sets
+near the number of places meet in more buckets, and lose no link.
 
-Exactness: equal sets fold into one node. A node is compared with centres of its band buckets first (linear in the
-rows, whatever a bucket's size), which joins nearly all of a group of copies. Then every pair of a bucket whose members
-are still in different components, and which passes a size bound and a 256-bit sketch, is confirmed on the full
-sets: as rows in small buckets, in tiles of bounded size, of which only links leave the task, in large ones. At similarity 0.8 a link escapes all 32 bands with probability 3e-6 and the
-sketch with about 1e-6.
+Exactness: equal sets (by 128 bits of their shingles) fold into one node, whatever ids their documents have. A node is
+compared with centres of its band buckets first (linear in the rows, whatever a bucket's size), which joins nearly all of
+a group of copies. Then every pair of a bucket whose members are still in different components, and which passes a size
+bound and a 256-bit sketch, is confirmed on the full sets: as rows in small buckets, in tiles of a bounded number of
+members and shingles, of which only links leave the task, in large ones. At similarity 0.8 a link escapes all 32 bands
+with probability 3e-6 and the sketch with about 1e-6.
 
 Edge cases: null or wordless texts have an empty set, n_shingles 0 and are linked with nothing; a null id keeps its
-row with a null component; repeated rows give one row each; an empty table gives an empty result.
+row, and its component is the smallest id among what it is linked with, null if none has one; an id that several texts
+have stands for each of them; repeated rows give one row each; an empty table gives an empty result; very long texts are
+sets like any other.
 """
 
 from __future__ import annotations
@@ -27,19 +31,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gleaner.llm import bytetext
-from gleaner.llm.common import spread, stage
+from gleaner.llm.common import release, spread, stage
 
 BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
 PLACES = 1 << 20
 SKETCH_BITS = 256
-#: Ids that a broadcast may hold: eight bytes each.
+#: Rows that a broadcast may hold: 24 bytes each at most.
 BROADCAST_IDS = 1_000_000
 STAR_ROUNDS = 2
 CENTRES_PER_ROUND = 2
 #: Buckets up to this size give their pairs as rows; larger ones are compared in tiles of at most about TILE by TILE members.
 SMALL_BUCKET = 8
 TILE = 1024
+#: Shingles of a tile's rows or columns, about: eight bytes each.
+TILE_SHINGLES = 1 << 20
 
 _rows: np.ndarray | None = None
 
@@ -116,25 +122,26 @@ def sketch_limit(percent: int) -> int:
     return int(mean + 5 * deviation) + 1
 
 
-_FEATURES = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
+def set_hashes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two 64-bit sums over each set's shingles, which tell sets apart."""
+    total = np.zeros((2, len(values) + 1), dtype=np.uint64)
+    np.cumsum(bytetext.mix(values), out=total[0, 1:])
+    np.cumsum(bytetext.mix(values ^ np.uint64(0x5BD1E9955BD1E995)), out=total[1, 1:])
+    return (total[:, bounds[1:]] - total[:, bounds[:-1]]).view(np.int64)
+
+
+_FEATURES = "doc_id bigint, row bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
 
 
 def _features(size: int):
     def run(batches):
         for batch in batches:
-            for at, end, raw, offsets in bytetext.blocks(batch.column(1)):
+            for at, end, raw, offsets in bytetext.blocks(batch.column("text")):
                 values, bounds = shingle_sets(raw, offsets, size)
-                n = np.diff(bounds)
                 bands, sketch = bands_and_sketch(signatures(values, bounds))
-                total = np.zeros((2, len(values) + 1), dtype=np.uint64)
-                np.cumsum(bytetext.mix(values), out=total[0, 1:])
-                np.cumsum(bytetext.mix(values ^ np.uint64(0x5BD1E9955BD1E995)), out=total[1, 1:])
-                sums = (total[:, bounds[1:]] - total[:, bounds[:-1]]).view(np.int64)
                 ragged = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, end - at), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), ragged(bands), ragged(sketch)],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
-                )
+                own = [batch.column(x).slice(at, end - at) for x in ("doc_id", "row")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(bounds)), *map(pa.array, set_hashes(values, bounds)), ragged(bands), ragged(sketch)], names=[x.split()[0] for x in _FEATURES.split(", ")])
 
     return run
 
@@ -142,12 +149,10 @@ def _features(size: int):
 def _sets(size: int):
     def run(batches):
         for batch in batches:
-            for at, end, raw, offsets in bytetext.blocks(batch.column(1)):
+            for _, _, raw, offsets in bytetext.blocks(batch.column("text")):
                 values, bounds = shingle_sets(raw, offsets, size)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, end - at), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))],
-                    names=["node", "shingles"],
-                )
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, set_hashes(values, bounds)), lists], names=["set_a", "set_b", "shingles"])
 
     return run
 
@@ -174,40 +179,50 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     labels = stage(both.groupBy(F.col("x").alias("n")).agg(F.min("y").alias("m")).select("n", F.least("n", "m").alias("l")), "labels")
     while True:
         near = both.join(labels, F.col("y") == F.col("n")).groupBy("x").agg(F.min("l").alias("m"))
-        step = labels.join(near, F.col("n") == F.col("x"), "left").select("n", F.col("l").alias("old"), F.least("l", F.coalesce("m", "l")).alias("l"))
+        step = labels.select("n", "l").join(near, F.col("n") == F.col("x"), "left").select("n", F.col("l").alias("old"), F.least("l", F.coalesce("m", "l")).alias("l"))
         jump = step.select(F.col("n").alias("k"), F.col("l").alias("kl"))
         step = stage(step.join(jump, F.col("l") == F.col("k"), "left").select("n", "old", F.least("l", F.coalesce("kl", "l")).alias("l")), "labels")
-        labels = step.select("n", "l")
+        release(labels)
+        labels = step
         if step.where("old <> l").isEmpty():
             break
-    return nodes.join(labels, F.col("comp") == F.col("n"), "left").select("node", F.coalesce("l", "comp").alias("comp"))
+    out = stage(nodes.join(labels.select("n", "l"), F.col("comp") == F.col("n"), "left").select("node", F.coalesce("l", "comp").alias("comp")), "comps")
+    release(edges, labels, nodes)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable), kept (the document is its component's smallest id)."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = texts.select("doc_id", F.xxhash64("doc_id", F.isnull("doc_id"), "text").alias("row"), "text")
     features = stage(spread(texts).mapInArrow(_features(shingle), _FEATURES), "features")
-    full = features.where("n_shingles > 0 and doc_id is not null")
-    # Equal sets are one node, named by the smallest id.
-    nodes = full.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("m")).select("set_a", "set_b", F.col("m.doc_id").alias("node"), "m.n_shingles", "m.bands", "m.sketch")
-    nodes = stage(nodes, "nodes")
+    # Equal sets are one node, with the smallest id and one of the rows that have it.
+    chosen = F.min(F.struct("row", "n_shingles", "bands", "sketch")).alias("m")
+    nodes = features.where("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("low"), chosen)
+    nodes = stage(nodes.select("set_a", "set_b", F.monotonically_increasing_id().alias("node"), "low", "m.row", "m.n_shingles", "m.bands", "m.sketch"), "nodes")
     rows = nodes.select("node", F.explode("bands").alias("key"))
     busy = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     near = stage(rows.join(busy, "key"), "near")
     company = near.groupBy("node").agg(F.sum("c").alias("company"))
     crowd = stage(near.drop("c").join(company.join(nodes.select("node", F.col("n_shingles").alias("n"), "sketch"), "node"), "node"), "crowd")
-    some = stage(crowd.select("node").distinct(), "some")
+    release(near)
+    some = stage(nodes.join(crowd.select("node").distinct(), "node", "left_semi").select("node", "row", "set_a", "set_b"), "some")
     ids = some.count()
-    labels = some.select("node", F.col("node").alias("comp"))
+    named = nodes.select("set_a", "set_b", F.col("low").alias("comp"))
     if ids:
-        wanted = some.withColumnRenamed("node", "doc_id")
-        # An eight-byte id each: small enough to send to every executor up to the bound, a shuffled join beyond it.
-        wanted = F.broadcast(wanted) if ids <= BROADCAST_IDS else wanted
-        sets = stage(spread(texts.join(wanted, "doc_id", "left_semi")).mapInArrow(_sets(shingle), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "sets")
-        labels = _link(crowd, sets, labels, percent)
-    by_set = nodes.select("set_a", "set_b", "node").join(labels, "node", "left").select("set_a", "set_b", F.coalesce("comp", "node").alias("comp"))
-    out = features.join(by_set, ["set_a", "set_b"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("comp").isNotNull(), F.least("comp", "doc_id")).otherwise(F.col("doc_id"))
+        # Three numbers each: small enough to send to every executor up to the bound, shuffled joins beyond it.
+        few = F.broadcast if ids <= BROADCAST_IDS else lambda x: x
+        sets = spread(texts.join(few(some.select("row")), "row", "left_semi").select("text")).mapInArrow(_sets(shingle), "set_a bigint, set_b bigint, shingles array<bigint>")
+        sets = stage(sets.join(few(some.select("set_a", "set_b", "node")), ["set_a", "set_b"]).select("node", "shingles").dropDuplicates(["node"]), "sets")
+        labels = _link(crowd, sets, some.select("node", F.col("node").alias("comp")), percent)
+        release(sets)
+        lows = nodes.select("node", "low").join(labels, "node").groupBy("comp").agg(F.min("low").alias("lowest"))
+        lowest = labels.join(lows, "comp").select("node", "lowest")
+        named = stage(nodes.select("set_a", "set_b", "node", "low").join(lowest, "node", "left").select("set_a", "set_b", F.least("lowest", "low").alias("comp")), "named")
+        release(labels, nodes)
+    release(crowd, some)
+    out = features.join(named, ["set_a", "set_b"], "left")
+    component = F.when(F.col("n_shingles") > 0, F.least("comp", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -231,14 +246,17 @@ def _link(crowd: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) ->
         tries = m.join(c, F.col("m.key") == F.col("c.key")).where(F.col("m.comp") != F.col("c.comp")).where(sizes).select(F.col("m.node").alias("a"), F.col("c.node").alias("b"), apart.alias("apart")).where(F.col("apart") <= limit).distinct()
         best = tries.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("apart", "b"))).where(F.col("r") <= CENTRES_PER_ROUND)
         links = stage(_confirm(best.select("a", "b"), sets, percent), "links")
+        release(mixed)
         if links.isEmpty():
             break
-        labels = stage(components(labels, links), "comps")
+        labels = components(labels, links)
+        release(links)
     # What is left: every pair of a bucket across components.
     mixed = _mixed(crowd, labels)
-    by_comp = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    facts = by_comp.groupBy("key").agg(F.sum("c").alias("total"), F.max(F.struct("c", "comp")).alias("top"))
-    facts = facts.select("key", "total", F.col("top.comp").alias("top"), F.ceil((F.col("total") - F.col("top.c")) / TILE).cast("int").alias("rows"), F.ceil(F.col("total") / TILE).cast("int").alias("cols"))
+    by_comp = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    facts = by_comp.groupBy("key").agg(F.sum("c").alias("total"), F.sum("s").alias("size"), F.max(F.struct("c", "comp", "s")).alias("top"))
+    parts = lambda members, shingles: F.ceil(F.greatest(members / TILE, shingles / TILE_SHINGLES)).cast("int")
+    facts = facts.select("key", "total", F.col("top.comp").alias("top"), parts(F.col("total") - F.col("top.c"), F.col("size") - F.col("top.s")).alias("rows"), parts(F.col("total"), F.col("size")).alias("cols"))
     told = stage(mixed.join(facts, "key"), "rest")
     small, large = told.where(F.col("total") <= SMALL_BUCKET), told.where(F.col("total") > SMALL_BUCKET)
     # Small buckets: their few pairs as rows, each confirmed once.
@@ -255,7 +273,9 @@ def _link(crowd: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) ->
     tiles = as_row.unionByName(as_column).join(sets, "node")
     found = found.union(tiles.groupBy("key", "i", "j").applyInArrow(_tile(percent, limit), "a bigint, b bigint"))
     links = stage(found, "links")
-    return labels if links.isEmpty() else stage(components(labels, links), "comps")
+    labels = labels if links.isEmpty() else components(labels, links)
+    release(mixed, told, links)
+    return labels
 
 
 def _tile(percent: int, limit: int):
