@@ -28,6 +28,7 @@ class Settings:
 
     @property
     def dedupe_capacity(self) -> int:
+        """Fingerprints that the bounded window of the deduplication holds."""
         return int(self.pipeline.get("dedupe_capacity", 100_000))
 
     @property

@@ -1,7 +1,8 @@
 """Keyword scoring: occurrences (or their weights) of many keywords in one native regex.
 
 Keywords are factored into a trie, so the regex engine takes about as long for thousands of keywords as for ten, and
-optional continuations make matches leftmost-longest. Only A-Z is folded; there are no word boundaries.
+optional continuations make matches leftmost-longest. Only A-Z is folded (the regex flag folds ASCII alone, so texts are
+scanned as they are); there are no word boundaries.
 """
 
 from __future__ import annotations
@@ -54,15 +55,15 @@ class KeywordMatcher:
     def __init__(self, keywords: Sequence[str] | Mapping[str, float]):
         self.weights = {k.translate(_FOLD): float(v) for k, v in keywords.items()} if isinstance(keywords, Mapping) else None
         self.keywords = [k.translate(_FOLD) for k in keywords if k]
-        self.pattern = trie_regex(self.keywords)
+        self.pattern = "(?i)" + trie_regex(self.keywords)
 
     def matches(self, content: Column) -> Column:
-        return F.regexp_extract_all(ascii_lower(content), F.lit(f"({self.pattern})"), F.lit(1))
+        return F.regexp_extract_all(content, F.lit(self.pattern), F.lit(0))
 
     def score(self, content: Column) -> Column:
         if self.weights is None:
-            return F.regexp_count(ascii_lower(content), F.lit(self.pattern)).cast("bigint")
+            return F.regexp_count(content, F.lit(self.pattern)).cast("bigint")
         if not self.weights:
             return F.lit(0.0)
         weight = F.create_map(*[F.lit(x) for pair in self.weights.items() for x in pair])
-        return F.aggregate(self.matches(content), F.lit(0.0), lambda total, m: total + F.coalesce(F.element_at(weight, m), F.lit(0.0)))
+        return F.aggregate(self.matches(content), F.lit(0.0), lambda total, m: total + F.coalesce(F.element_at(weight, ascii_lower(m)), F.lit(0.0)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,11 +14,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # HTML entities that are decoded. The ampersand comes last, so that one pass suffices.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 # What is blanked out of HTML, in this order.
-MARKUP = [r"(?s)<!--.*?-->", r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>", r"<[^>]+>"]
+MARKUP = [r"(?s)<!--.*?-->", r"(?is)<script\b[^>]*>.*?</script>", r"(?is)<style\b[^>]*>.*?</style>", r"<[^>]+>"]
 # Unicode white space.
 BLANKS = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 # One character of a script without spaces, or a run of letters and digits.
 TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]|[\p{L}\p{N}]+"
+#: The same tokens of lower-cased text, with the run that begins with an ASCII letter or digit tried first.
+_FAST_TOKEN = r"[a-z0-9]++[\p{L}\p{N}]*+|" + TOKEN
+#: Texts of these characters are in NFKC: ASCII, letters of Latin-1 with accents, basic Cyrillic, Han, Hangul, kana.
+_STABLE = r"^[\x00-\x7f\xc0-\xff\x{410}-\x{44f}\x{4e00}-\x{9fff}\x{ac00}-\x{d7a3}\x{3041}-\x{3096}\x{30a1}-\x{30fa}]*+$"
 # Characters that a finding is stripped of, and replies that say there is none.
 FINDING_TRIM = " \n\t\r`\"'*().\u00b7-\u200b\ufeff\u3000\u7a7a"
 NO_FINDING = ["empty", "empty string", "none", "null", "n/a", "na", "nil", "no findings", "nothing", "no strategy", "no trading strategy"]
@@ -62,22 +66,19 @@ def drop_malformed(raw: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(x: pd.Series) -> pd.Series:
-    return x.map(lambda s: s if s is None else unicodedata.normalize("NFKC", s).lower())
+@F.arrow_udf(T.StringType())
+def _nfkc(x: pa.Array) -> pa.Array:
+    return pa.array([None if s is None else unicodedata.normalize("NFKC", s).lower() for s in x.to_pylist()], pa.string())
 
 
-def is_ascii(x: Column) -> Column:
-    return F.octet_length(x) == F.length(x)
-
-
-def normalize(x: Column, assume_nfkc: bool = False) -> Column:
-    """NFKC, then lower case. assume_nfkc keeps texts known to be in NFKC on the native path."""
-    return F.lower(x) if assume_nfkc else _nfkc(x)
+def normalize(x: Column) -> Column:
+    """NFKC, then lower case. Texts whose characters are in NFKC stay on the native path; only the others go to Python."""
+    stable = x.rlike(_STABLE)
+    return F.when(stable, F.lower(x)).otherwise(_nfkc(F.when(stable, F.lit(None)).otherwise(x)))
 
 
 def tokens(normalized: Column) -> Column:
-    return F.regexp_extract_all(normalized, F.lit(f"({TOKEN})"), F.lit(1))
+    return F.regexp_extract_all(normalized, F.lit(_FAST_TOKEN), F.lit(0))
 
 
 def language_list(languages: Column) -> Column:

@@ -10,14 +10,14 @@ from gleaner.functions.text import normalize, tokens
 WEIGHTED_TERMS = 128
 
 
-def token_counts(df: DataFrame, text: Column, assume_nfkc: bool = False) -> DataFrame:
+def token_counts(df: DataFrame, text: Column) -> DataFrame:
     """token, count over all rows; counted in each task before the exchange."""
-    return df.select(F.explode(tokens(normalize(text, assume_nfkc))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    return df.select(F.explode(tokens(normalize(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
-def term_weights(df: DataFrame, text: Column, terms: int = WEIGHTED_TERMS, assume_nfkc: bool = False) -> DataFrame:
+def term_weights(df: DataFrame, text: Column, terms: int = WEIGHTED_TERMS) -> DataFrame:
     """token, count, weight = 1/sqrt(count) of the most frequent terms; ties go to the smaller token."""
-    top = token_counts(df, text, assume_nfkc).orderBy(F.desc("count"), F.asc("token")).limit(terms)
+    top = token_counts(df, text).orderBy(F.desc("count"), F.asc("token")).limit(terms)
     return top.withColumn("weight", F.lit(1.0) / F.sqrt("count"))
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 from collections import OrderedDict
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.simhash import hamming, simhash
@@ -31,23 +33,43 @@ class SeenSet:
 def dedup(df: DataFrame, content: str = "content", score: str = "score", tie: str = "uri", ascending: bool = False) -> DataFrame:
     """One row for each fingerprint: the best score, then the smallest `tie`.
 
-    One aggregation: each task keeps one row for each fingerprint before the exchange, so a fingerprint that a third of
-    all rows share costs a row a task.
+    Tasks keep one row of each fingerprint before the exchange (a limit on the window's groups), so one that a third of
+    all rows share costs a row a task; only columns that are asked for later are sorted and exchanged.
     """
     marked = df.withColumn("_fp", simhash(F.col(content)))
     order = Window.partitionBy("_fp").orderBy(F.col(score).asc() if ascending else F.col(score).desc(), F.col(tie))
     return marked.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == 1).drop("_n", "_fp")
 
 
+#: Bands of a fingerprint: bits that differ fall into as many bands at most, so BANDS - bits of them are equal.
+BANDS = 6
+
+
+def _band(fp: Column, i: int) -> Column:
+    low, high = 64 * i // BANDS, 64 * (i + 1) // BANDS
+    return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+
+
 def near_dedup_pairs(df: DataFrame, key: str, content: str = "content", bits: int = 3) -> DataFrame:
-    """Pairs of keys whose fingerprints differ in at most `bits` (up to 3) bits; four 16-bit bands find them all."""
+    """Pairs of representatives (the smallest key of a fingerprint) whose fingerprints differ in 1 to `bits` (up to 3) bits.
+
+    Of six bands at least three are equal in such a pair, so fingerprints meet by three bands (32 bits) at a time: few meet
+    by chance, whatever the number of rows. A pair that shares more bands comes from the first three alone.
+    """
     if bits > 3:
-        raise ValueError("four bands find at most three differing bits")
+        raise ValueError("six bands, three at a time, find at most three differing bits")
     marked = df.select(F.col(key).alias("k"), simhash(F.col(content)).alias("fp")).groupBy("fp").agg(F.min("k").alias("k"))
-    banded = marked.select("k", "fp", F.posexplode(F.array(*[F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)])).alias("band", "value"))
+    combos = list(itertools.combinations(range(BANDS), BANDS - 3))
+    keys = F.array(*[F.xxhash64(F.lit(c), *[_band(F.col("fp"), i) for i in combo]) for c, combo in enumerate(combos)])
+    banded = marked.select("k", "fp", F.posexplode(keys).alias("combo", "value"))
     a, b = banded.alias("a"), banded.alias("b")
-    joined = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.k") < F.col("b.k")) & (hamming(F.col("a.fp"), F.col("b.fp")) <= bits))
-    return joined.select(F.col("a.k").alias("left"), F.col("b.k").alias("right"), hamming(F.col("a.fp"), F.col("b.fp")).alias("bits")).distinct()
+    same = [_band(F.col("a.fp"), i) == _band(F.col("b.fp"), i) for i in range(BANDS)]
+    first = F.lit(-1)
+    for c, combo in reversed(list(enumerate(combos))):
+        first = F.when(reduce(lambda x, y: x & y, [same[i] for i in combo]), F.lit(c)).otherwise(first)
+    apart = hamming(F.col("a.fp"), F.col("b.fp"))
+    joined = a.join(b, (F.col("a.value") == F.col("b.value")) & (F.col("a.combo") == F.col("b.combo")) & (F.col("a.k") < F.col("b.k")) & (apart <= bits))
+    return joined.where(F.col("a.combo") == first).select(F.col("a.k").alias("left"), F.col("b.k").alias("right"), apart.alias("bits"))
 
 
 def near_dedup_members(df: DataFrame, key: str, content: str = "content") -> DataFrame:
@@ -58,21 +80,26 @@ def near_dedup_members(df: DataFrame, key: str, content: str = "content") -> Dat
     return marked.join(first, F.col("fp").eqNullSafe(F.col("of"))).select("left", "right", F.lit(0).alias("bits"))
 
 
-def fifo_dedup(df: DataFrame, order: str, capacity: int, content: str = "content", lanes: int = 1) -> DataFrame:
+def fifo_dedup(df: DataFrame, order: str | list[Column], capacity: int, content: str = "content", lanes: int = 1, lane: Column | None = None) -> DataFrame:
     """The sequential window: rows in `order`, each admitted unless the last `capacity` admitted fingerprints hold its own.
 
-    A window over arrivals is one sequence by definition. `lanes` deals fingerprints over that many independent windows
-    (equal ones meet in one lane), which is what several consumers of one stream do.
+    A window over arrivals is one sequence by definition, so one lane is one task: for a stream that one consumer follows.
+    `lanes` deals fingerprints over that many independent windows (equal ones meet in one lane), which is what several
+    consumers of one stream do; `lane` deals by an expression of the content instead.
     """
     keyed = df.withColumn("_fp", simhash(F.col(content)))
-    schema = df.schema
-    keyed = keyed.withColumn("_lane", F.pmod(F.col("_fp"), F.lit(lanes)))
-    rows = keyed.repartition(lanes, "_lane").sortWithinPartitions("_lane", order)
-
-    def run(frames):
-        seen: dict[int, SeenSet] = {}
-        for frame in frames:
-            keep = [seen.setdefault(lane, SeenSet(capacity)).admit(fp) for lane, fp in zip(frame["_lane"], frame["_fp"])]
-            yield pd.DataFrame(frame[keep][[f.name for f in schema]])
-
-    return rows.mapInPandas(run, schema)
+    keyed = keyed.withColumn("_lane", (F.pmod(F.col("_fp"), F.lit(lanes)) if lane is None else lane).cast("string"))
+    names, schema = df.columns, df.schema
+
+    def run(batches):
+        now, seen = None, SeenSet(capacity)
+        for batch in batches:
+            keep = []
+            for at, fp in zip(batch.column("_lane").to_pylist(), batch.column("_fp").to_pylist()):
+                if at != now:  # lanes follow each other
+                    now, seen = at, SeenSet(capacity)
+                keep.append(seen.admit(fp))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(names)
+
+    rows = keyed.repartition("_lane") if lane is not None else keyed.repartition(lanes, "_lane")
+    return rows.sortWithinPartitions("_lane", *([order] if isinstance(order, str) else order)).mapInArrow(run, schema)

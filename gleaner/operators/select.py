@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.keywords import KeywordMatcher
-from gleaner.functions.text import accepts, utf8_truncate
+from gleaner.functions.text import accepts
 from gleaner.functions.vectors import Encoder, distance, embed, literal
-from gleaner.operators.dedup import dedup
+from gleaner.operators.dedup import dedup, fifo_dedup
 from gleaner.operators.topk import bounded_topk
-from gleaner.schema import CONTENT_BYTES
 
 
 class Selector(Protocol):
@@ -28,9 +27,9 @@ class KeywordSelector:
         self.matcher, self.capacity, self.min_matches = matcher, capacity, min_matches
 
     def apply(self, pages: DataFrame) -> DataFrame:
-        content = utf8_truncate(F.col("content"), CONTENT_BYTES)
-        scored = pages.withColumn("score", self.matcher.score(content).cast("double")).where(F.col("score") >= self.min_matches)
-        return bounded_topk(scored, "score", self.capacity, ascending=False)
+        # The best come first, so the bound on them alone gives the same rows, and the score is worked out once.
+        scored = pages.withColumn("score", self.matcher.score(F.col("content")).cast("double"))
+        return bounded_topk(scored, "score", self.capacity, ascending=False).where(F.col("score") >= self.min_matches)
 
 
 class EmbeddingSelector:
@@ -51,9 +50,14 @@ def select(strategy: Selector, pages: DataFrame) -> DataFrame:
     return strategy.apply(pages)
 
 
-def waterfall(pages: DataFrame, matcher: KeywordMatcher | None, query: str, encoder: Encoder, capacity: int, min_matches: float = 1, languages: list[str] | None = None, threshold: float | None = None) -> DataFrame:
-    """Cheapest filter first: language, keywords, fingerprint, distance. Without a matcher the keyword stage is skipped."""
+def waterfall(pages: DataFrame, matcher: KeywordMatcher | None, query: str, encoder: Encoder, capacity: int, min_matches: float = 1, languages: list[str] | None = None, threshold: float | None = None, seen: int | None = None) -> DataFrame:
+    """Cheapest filter first: language, keywords, fingerprint, distance. Without a matcher the keyword stage is skipped.
+
+    Deduplication compares all pages with each other. With `seen`, the keyword stage's shortlist (at most `capacity` pages)
+    goes through the sequential window of the last `seen` fingerprints instead, best first.
+    """
     pages = pages.where(accepts(F.col("languages"), languages))
     if matcher is not None:
         pages = select(KeywordSelector(matcher, capacity, min_matches), pages)
-    return select(EmbeddingSelector(query, encoder, capacity, threshold), dedup(pages))
+    once = dedup(pages) if seen is None or matcher is None else fifo_dedup(pages, [F.desc("score"), F.asc("uri")], seen)
+    return select(EmbeddingSelector(query, encoder, capacity, threshold), once)

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
-import os
-import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +15,12 @@ from gleaner.functions.text import FINDING_TRIM, NO_FINDING, accepts, clean_keyw
 from gleaner.functions.vectors import HashEncoder, distance, embed, is_relevant, literal, similarity
 from gleaner.operators.counts import score_stats, term_weights, token_counts
 from gleaner.operators.dedup import dedup, fifo_dedup, near_dedup_members, near_dedup_pairs
+from gleaner.operators.extract import counters
 from gleaner.operators.select import EmbeddingSelector, KeywordSelector, select, waterfall
 from gleaner.operators.topk import bounded_topk, grouped_topk
+from gleaner.plans.research import first_of, joined_terms
 from gleaner.schema import CONTENT_BYTES, PROMPT_BYTES
-from gleaner.sources.tables import document_pages, web_pages
+from gleaner.sources.tables import document_pages, seed_parts, web_pages
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -30,7 +30,6 @@ KEYWORDS = ["the", "license", "of", "und", "que", "lic"]
 WEIGHTS = {"the": 1.0, "license": 4.0, "of": 2.0, "und": 0.5, "que": 0.25}
 QUERY_TEXT = "the license of und que"
 LANGUAGES = ["eng", "deu"]
-SHINGLE_BYTES = 128
 
 
 def query(sql: str | None = None):
@@ -45,9 +44,10 @@ def query(sql: str | None = None):
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    # A single small file is one split; deal it out before costly expressions. Large tables have splits enough.
+    # A single small file is one split; deal it out before costly expressions. Large tables have splits enough. By a hash of
+    # the row's number: dealing in turns would sort whole rows first.
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 4) else df
+    return df.repartition(cores, F.monotonically_increasing_id()) if df.rdd.getNumPartitions() < min(cores, 4) else df
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ _HITS = f"regexp_extract_all({_ASCII}, '{_FLAT}')"
 _WEIGHED_FLAT = "|".join(sorted(WEIGHTS, key=lambda k: (-len(k), k)))
 _WEIGHT_OF = "CASE m " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in WEIGHTS.items()) + " ELSE 0 END"
 _PLAIN = "html"
-for _pattern in ("(?s)<!--.*?-->", "(?is)<script\\b.*?</script>", "(?is)<style\\b.*?</style>", "<[^>]+>"):
+for _pattern in ("(?s)<!--.*?-->", "(?is)<script\\b[^>]*>.*?</script>", "(?is)<style\\b[^>]*>.*?</style>", "<[^>]+>"):
     _PLAIN = f"regexp_replace({_PLAIN}, '{_pattern}', ' ', 'g')"
 for _entity, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
     _PLAIN = f"replace({_PLAIN}, '{_entity}', '{_char}')"
@@ -125,25 +125,22 @@ def language_topk(spark, sf_dir):
     return grouped_topk(docs, "lang", "n_chars", 5, ascending=False, tie="doc_id")
 
 
-@query(f"""
-WITH raw AS (SELECT doc_id, CASE WHEN strlen(text) <= {SHINGLE_BYTES} THEN encode(text) ELSE encode({_cut("text", SHINGLE_BYTES)}) END AS b FROM documents),
-hex AS (SELECT doc_id, hex(b) AS x, octet_length(b) AS n FROM raw),
-spots AS (SELECT doc_id, n, x, unnest(range(1, n - 1)) AS i FROM hex WHERE n >= 3),
-codes AS (SELECT doc_id, n, i::UHUGEINT AS i, ('0x' || substr(x, (2 * i - 1)::INT, 2))::UHUGEINT AS p, ('0x' || substr(x, (2 * i + 1)::INT, 2))::UHUGEINT AS q, ('0x' || substr(x, (2 * i + 3)::INT, 2))::UHUGEINT AS r FROM spots),
-h0 AS (SELECT doc_id, n, xor(xor(xor(p << 32, q << 16), r), i) AS h FROM codes),
-h1 AS (SELECT doc_id, n, (xor(h, h >> 33) * {FIRST}::UHUGEINT) % 18446744073709551616::UHUGEINT AS h FROM h0),
-h2 AS (SELECT doc_id, n, (xor(h, h >> 33) * {SECOND}::UHUGEINT) % 18446744073709551616::UHUGEINT AS h FROM h1),
-h3 AS (SELECT doc_id, n, xor(h, h >> 33) AS h FROM h2),
-votes AS (SELECT doc_id, k, sum(CASE WHEN (h >> k::UHUGEINT) % 2 = 1 THEN 1 ELSE -1 END) AS v FROM h3, (SELECT unnest(range(64)) AS k) GROUP BY doc_id, k),
-bits AS (SELECT doc_id, sum(CASE WHEN v > 0 THEN 1::HUGEINT << k::INT ELSE 0::HUGEINT END)::HUGEINT AS u FROM votes GROUP BY doc_id)
-SELECT d.doc_id, coalesce(CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END, 0)::BIGINT AS fingerprint FROM documents d LEFT JOIN bits b USING (doc_id)
-""")
-def simhash_prefix(spark, sf_dir):
-    """The fingerprint of a short prefix, the part of simhash_text that SQL can follow."""
-    return _table(spark, sf_dir, "documents").select("doc_id", simhash(utf8_truncate(F.col("text"), SHINGLE_BYTES)).alias("fingerprint"))
-
-
-@query()
+_BITS = ", ".join(f"sum((h >> {k}) & 1) AS s{k}" for k in range(64))
+_WORD = " + ".join(f"CASE WHEN 2 * s{k} > n THEN {1 << k}::UHUGEINT ELSE 0::UHUGEINT END" for k in range(64))
+# The fingerprint of every whole text, as an unsigned number.
+_SIMHASH = f"""
+hex AS (SELECT doc_id, regexp_extract_all(hex(encode(text)), '..') AS x FROM documents WHERE text IS NOT NULL),
+spots AS (SELECT doc_id, unnest(list_transform(x, lambda b: ('0x' || b)::UTINYINT)) AS p, generate_subscripts(x, 1) AS i FROM hex),
+three AS (SELECT doc_id, i, p, lead(p, 1) OVER w AS q, lead(p, 2) OVER w AS r FROM spots WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+h0 AS (SELECT doc_id, xor(xor(xor(p::UBIGINT << 32, q::UBIGINT << 16), r::UBIGINT), i::UBIGINT) AS h FROM three WHERE r IS NOT NULL),
+h1 AS (SELECT doc_id, ((xor(h, h >> 33)::UHUGEINT * {FIRST}::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT AS h FROM h0),
+h2 AS (SELECT doc_id, ((xor(h, h >> 33)::UHUGEINT * {SECOND}::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT AS h FROM h1),
+votes AS (SELECT doc_id, count(*) AS n, {_BITS} FROM (SELECT doc_id, xor(h, h >> 33) AS h FROM h2) GROUP BY doc_id),
+prints AS (SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(({_WORD})::UBIGINT, 0) END AS u FROM documents d LEFT JOIN votes USING (doc_id))"""
+_SIGNED = "(CASE WHEN u >= 9223372036854775808 THEN u::HUGEINT - 18446744073709551616 ELSE u::HUGEINT END)::BIGINT"
+
+
+@query(f"WITH {_SIMHASH} SELECT doc_id, {_SIGNED} AS fingerprint FROM prints")
 def simhash_text(spark, sf_dir):
     """The fingerprint of the whole text."""
     return _table(spark, sf_dir, "documents").select("doc_id", simhash(F.col("text")).alias("fingerprint"))
@@ -155,29 +152,44 @@ def dedup_pages(spark, sf_dir):
     return dedup(_pages(spark, sf_dir).withColumn("score", F.col("length").cast("double"))).select("doc_id")
 
 
-@query()
+@query(f"""WITH {_SIMHASH}, reps AS (SELECT u, min(doc_id) AS k FROM prints WHERE u IS NOT NULL GROUP BY u)
+SELECT min(doc_id) OVER (PARTITION BY u) AS "left", doc_id AS "right", 0::INTEGER AS bits FROM prints
+UNION ALL SELECT a.k, b.k, bit_count(xor(a.u, b.u))::INTEGER FROM reps a JOIN reps b ON a.k < b.k AND bit_count(xor(a.u, b.u)) <= 3""")
 def near_dedup_hamming(spark, sf_dir):
     """Optional form of U1: each document with its representative (0 bits), and pairs of these that differ in one to three bits."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup_members(docs, "doc_id", "text").union(near_dedup_pairs(docs, "doc_id", "text"))
 
 
-@query(f"WITH {_PAGES} SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY content ORDER BY doc_id) AS r FROM pg) WHERE r = 1")
+#: The window of the registered query is small, so that fingerprints leave it.
+FIFO_CAPACITY = 8
+
+
+@query(f"""WITH RECURSIVE {_PAGES},
+arrivals AS (SELECT doc_id, md5(content) AS h, substr(md5(content), 1, 1) AS lane, row_number() OVER (PARTITION BY substr(md5(content), 1, 1) ORDER BY doc_id) AS n FROM pg),
+walk(lane, n, doc_id, fresh, held) AS (
+  SELECT DISTINCT lane, 0::BIGINT, NULL::BIGINT, false, []::VARCHAR[] FROM arrivals
+  UNION ALL
+  SELECT a.lane, a.n, a.doc_id, NOT list_contains(held, a.h),
+         CASE WHEN list_contains(held, a.h) THEN held ELSE list_append(CASE WHEN len(held) >= {FIFO_CAPACITY} THEN held[2:] ELSE held END, a.h) END
+  FROM walk w JOIN arrivals a ON a.lane = w.lane AND a.n = w.n + 1
+) SELECT doc_id FROM walk WHERE fresh""")
 def dedup_fifo(spark, sf_dir):
-    """The sequential window, here larger than the table, so that SQL can follow."""
-    return fifo_dedup(_pages(spark, sf_dir).select("doc_id", "content"), "doc_id", 1 << 30, lanes=8).select("doc_id")
+    """The sequential window, in sixteen lanes by a hash of the content."""
+    pages = _pages(spark, sf_dir).select("doc_id", "content")
+    return fifo_dedup(pages, "doc_id", FIFO_CAPACITY, lane=F.substring(F.md5(F.col("content").cast("binary")), 1, 1)).select("doc_id")
 
 
 @query(f"SELECT token, count(*) AS \"count\" FROM (SELECT unnest({_TOKENS}) AS token FROM documents) GROUP BY token")
 def token_count(spark, sf_dir):
     """Tokens of all documents."""
-    return token_counts(_table(spark, sf_dir, "documents"), F.col("text"), assume_nfkc=True)
+    return token_counts(_table(spark, sf_dir, "documents"), F.col("text"))
 
 
 @query(f"SELECT token, \"count\", round(1 / sqrt(\"count\"), 9) AS weight FROM (SELECT token, count(*) AS \"count\" FROM (SELECT unnest({_TOKENS}) AS token FROM documents) GROUP BY token) ORDER BY \"count\" DESC, token LIMIT 128")
 def term_weight(spark, sf_dir):
     """Weights of the 128 most frequent terms."""
-    return term_weights(_table(spark, sf_dir, "documents"), F.col("text"), assume_nfkc=True).withColumn("weight", F.round("weight", 9))
+    return term_weights(_table(spark, sf_dir, "documents"), F.col("text")).withColumn("weight", F.round("weight", 9))
 
 
 @query("SELECT doc_id, lower(text) AS normal FROM documents")
@@ -198,11 +210,11 @@ def web_page_records(spark, sf_dir):
     return web_pages(_table(spark, sf_dir, "pages")).select("page_id", "uri", "content", "length")
 
 
-@query(f"SELECT string_agg(plain, chr(10) || chr(10) ORDER BY page_id) AS article FROM (SELECT page_id, {_PLAIN} AS plain FROM pages ORDER BY page_id LIMIT 8) WHERE plain <> ''")
+@query(f"""WITH p AS (SELECT page_id, {_PLAIN} AS plain FROM pages)
+SELECT page_id, plain || CASE WHEN page_id = (SELECT max(page_id) FROM p WHERE plain <> '') THEN '' ELSE chr(10) || chr(10) END AS part FROM p WHERE plain <> ''""")
 def seed_text(spark, sf_dir):
-    """The seed pages' texts joined by blank lines (eight seeds, as a crawl's settings name)."""
-    seeds = _table(spark, sf_dir, "pages").orderBy("page_id").limit(8).select("page_id", html_plaintext(F.col("html")).alias("plain")).where(F.length("plain") > 0)
-    return seeds.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "plain"))), lambda p: p["plain"]), "\n\n").alias("article"))
+    """What every page adds to the seeds' joined text, in the order of page_id: its text and, but for the last, a blank line."""
+    return seed_parts(_table(spark, sf_dir, "pages"), "page_id")
 
 
 def _rounded(x):
@@ -247,28 +259,38 @@ def score_statistics(spark, sf_dir):
     return stats.select("n", *[_rounded(F.col(c)).alias(c) for c in ("mean", "std", "low", "high")])
 
 
-_RAW_TERMS = [" trend / breakout ", "趋势，突破", "x", "a" * 61, "trend", "moving average|rsi;macd"]
+_BLANK = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
-@query("WITH raw AS (SELECT unnest([" + ", ".join(f"'{x}'" for x in _RAW_TERMS) + "]) AS r, generate_subscripts([" + ", ".join("1" for _ in _RAW_TERMS) + "], 1) AS i), pieces AS (SELECT i, generate_subscripts(p, 1) AS j, trim(unnest(p)) AS term FROM (SELECT i, regexp_split_to_array(r, '[,/|;、，]+') AS p FROM raw)), firsts AS (SELECT term, min(i * 1000 + j) AS o FROM pieces WHERE length(term) BETWEEN 2 AND 60 GROUP BY term) SELECT string_agg(term, '~' ORDER BY o) AS terms FROM firsts")
-def clean_keyword_list(spark, sf_dir):
-    """A model's keyword list made clean."""
-    return spark.range(1).select(F.array_join(clean_keywords(F.array(*[F.lit(x) for x in _RAW_TERMS])), "~").alias("terms"))
+def _terms(raw: str) -> str:
+    """clean_keywords in SQL, of one list of terms."""
+    pieces = f"list_filter(list_transform(regexp_split_to_array({raw}, '[,/|;、，]+'), lambda x: regexp_replace(x, '^{_BLANK}|{_BLANK}$', '', 'g')), lambda x: length(x) BETWEEN 2 AND 60)"
+    return f"list_filter({pieces}, lambda x, i: list_position({pieces}, x) = i)"
 
 
-_SOURCES = {"manual": {"eng": ["trend"], "fra": []}, "cache": {"eng": ["old"], "fra": ["tendance", "cassure"], "deu": []}, "made": {"deu": ["trend", "ausbruch"]}}
-
-
-@query("SELECT 'trend~tendance~cassure~ausbruch' AS terms, 3::BIGINT AS languages")
+@query(f"SELECT doc_id, array_to_string({_terms('(' + _cut('text', 2000) + ')')}, '~') AS terms FROM documents")
+def clean_keyword_list(spark, sf_dir):
+    """A list of terms made clean; here each document's text, at the length that is shown to a model, is the list."""
+    raw = F.array(utf8_truncate(F.col("text"), 2000))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(clean_keywords(raw), "~").alias("terms"))
+
+
+@query("""WITH tiers AS (SELECT lang, list_sort(list(DISTINCT 'long ' || source) FILTER (n_chars > 30000)) AS a,
+  list_sort(list(DISTINCT 'middling ' || source) FILTER (n_chars > 10000)) AS b, list_sort(list(DISTINCT 'any, ' || source)) AS c FROM documents WHERE lang IS NOT NULL GROUP BY lang),
+chosen AS (SELECT lang, coalesce(a, b, c) AS t FROM tiers),
+pieces AS (SELECT lang, generate_subscripts(t, 1) AS i, unnest(t) AS piece FROM chosen),
+terms AS (SELECT lang, i, generate_subscripts(p, 1) AS j, trim(unnest(p)) AS term FROM (SELECT lang, i, string_split(piece, ',') AS p FROM pieces)),
+once AS (SELECT term, min((lang, i, j)) AS pos FROM terms WHERE length(term) BETWEEN 2 AND 60 GROUP BY term)
+SELECT string_agg(term, '~' ORDER BY pos) AS terms, (SELECT count(*) FROM chosen) AS languages FROM once""")
 def keyword_sources(spark, sf_dir):
-    """Each language's terms from the first source that has any, then joined in order."""
-    # Built of literals: the sources are settings, not data.
-    source = lambda name: F.from_json(F.lit(json.dumps(_SOURCES[name])), "map<string,array<string>>")
-    langs = spark.range(1).select(F.posexplode(F.array(*[F.lit(x) for x in ("eng", "fra", "deu")])).alias("at", "lang"))
-    some = lambda c: F.when(F.size(c) > 0, c)  # noqa: E731  an empty list counts as none
-    first = F.coalesce(*[some(F.element_at(source(n), F.col("lang"))) for n in ("manual", "cache", "made")])
-    rows = langs.select("at", first.alias("terms")).agg(F.array_sort(F.collect_list(F.struct("at", "terms"))).alias("all"), F.count("terms").alias("languages"))
-    return rows.select(F.array_join(clean_keywords(F.flatten(F.transform("all", lambda r: r["terms"]))), "~").alias("terms"), "languages")
+    """Each language's terms from the first source that has any, as maps, then joined in the languages' order."""
+    docs = _table(spark, sf_dir, "documents").where("lang is not null")
+    source = lambda name, keep: F.array_sort(F.collect_set(F.when(keep, F.concat(F.lit(name), F.col("source")))))
+    tiers = docs.groupBy("lang").agg(source("long ", F.col("n_chars") > 30_000).alias("a"), source("middling ", F.col("n_chars") > 10_000).alias("b"), source("any, ", F.lit(True)).alias("c"))
+    # A few languages: each source is one map, as settings and caches have them.
+    maps = tiers.agg(*[F.map_from_entries(F.collect_list(F.struct("lang", x))).alias(x) for x in "abc"])
+    merged = maps.select(first_of(F.col("a"), F.col("b"), F.col("c")).alias("m"))
+    return merged.select(F.array_join(clean_keywords(joined_terms(F.col("m"))), "~").alias("terms"), F.size("m").cast("bigint").alias("languages"))
 
 
 @query(f"WITH {_PAGES} SELECT doc_id, 'URI: ' || uri || chr(10) || 'LANGUAGE: ' || languages || chr(10) || 'SCORE: 0.5' || chr(10) || chr(10) || ({_cut('content', PROMPT_BYTES)}) AS prompt FROM pg")
@@ -284,9 +306,13 @@ _TRIM = FINDING_TRIM.replace("'", "''")
 @query(f"SELECT conv_id, turn, trim(text, '{_TRIM}') <> '' AND lower(trim(text, '{_TRIM}')) NOT IN ({_NO}) AS told FROM (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN ' **None.** ' WHEN 1 THEN text WHEN 2 THEN '`空`' ELSE 'N/A' END AS text FROM conversations)")
 def informative_finding(spark, sf_dir):
     """Whether a reply says anything."""
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", informative(_finding()).alias("told"))
+
+
+def _finding():
+    """Replies of every kind, by the turn."""
     k = F.col("turn") % 4
-    text = F.when(k == 0, F.lit(" **None.** ")).when(k == 1, F.col("text")).when(k == 2, F.lit("`空`")).otherwise(F.lit("N/A"))
-    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", informative(text).alias("told"))
+    return F.when(k == 0, F.lit(" **None.** ")).when(k == 1, F.col("text")).when(k == 2, F.lit("`空`")).otherwise(F.lit("N/A"))
 
 
 @query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN text ELSE role END AS said FROM conversations")
@@ -332,15 +358,17 @@ def char_prefix(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 2000).alias("head"))
 
 
-@query("WITH p AS (SELECT count(*) AS pages FROM conversations), w AS (SELECT count(*) AS written FROM conversations WHERE role = 'assistant') SELECT pages, written FROM p, w")
+@query(f"SELECT count(*) AS pages, count(*) FILTER (trim(text, '{_TRIM}') <> '' AND lower(trim(text, '{_TRIM}')) NOT IN ({_NO})) AS written FROM (SELECT CASE turn % 4 WHEN 0 THEN ' **None.** ' WHEN 1 THEN text WHEN 2 THEN '`空`' ELSE 'N/A' END AS text FROM conversations)")
 def page_counters(spark, sf_dir):
-    """Pages seen and written."""
-    return _table(spark, sf_dir, "conversations").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("role") == "assistant").alias("written"))
+    """Pages seen, and findings that are written."""
+    return counters(_table(spark, sf_dir, "conversations").select(_finding().alias("finding")))
 
 
-@query(f"""
+def _waterfall_sql(score: str, where: str, shortlist: int) -> str:
+    return f"""
 WITH {_PAGES},
-best AS (SELECT doc_id, uri, content, len({_HITS})::DOUBLE AS k FROM pg WHERE languages IN ('eng', 'deu') AND len({_HITS}) >= 4 ORDER BY k DESC, uri LIMIT 200),
+scored AS (SELECT doc_id, uri, content, ({score})::DOUBLE AS k FROM pg WHERE {where}),
+best AS (SELECT * FROM scored ORDER BY k DESC, uri LIMIT {shortlist}),
 one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY k DESC, uri) AS r FROM best) WHERE r = 1),
 tok AS (SELECT doc_id, t, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(content), '[\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}\\p{{Hangul}}]|[\\p{{L}}\\p{{N}}]+')) AS t FROM one) GROUP BY ALL),
 qt AS (SELECT unnest(string_split('{QUERY_TEXT}', ' ')) AS t),
@@ -350,7 +378,13 @@ dv AS (SELECT doc_id, d, sum(n * s)::DOUBLE AS v FROM tok JOIN sign USING (t) GR
 qv AS (SELECT d, sum(s)::DOUBLE AS v FROM qt JOIN sign USING (t) GROUP BY d),
 dist AS (SELECT doc_id, 1 - sum(dv.v * qv.v) / sqrt(sum(dv.v * dv.v)) / sqrt(sum(qv.v * qv.v)) AS distance FROM dv JOIN qv USING (d) GROUP BY doc_id)
 SELECT doc_id, round(distance, 6) AS distance FROM dist JOIN one USING (doc_id) ORDER BY dist.distance, uri LIMIT 50
-""")
+"""
+
+
+_WEIGHT = f"coalesce(list_sum(list_transform(regexp_extract_all({_ASCII}, '{_WEIGHED_FLAT}'), lambda m: ({_WEIGHT_OF})::DOUBLE)), 0)"
+
+
+@query(_waterfall_sql(f"len({_HITS})", f"languages IN ('eng', 'deu') AND len({_HITS}) >= 4", 200))
 def waterfall_query(spark, sf_dir):
     """O1, L4: language, keywords, fingerprint, distance."""
     kept = waterfall_stages(spark, sf_dir)
@@ -363,36 +397,27 @@ def waterfall_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select(EmbeddingSelector(QUERY_TEXT, HashEncoder(), 50), dedup(best))
 
 
-@query()
+@query(_waterfall_sql(_WEIGHT, f"{_WEIGHT} >= 1", 50))
 def waterfall_weighted(spark, sf_dir):
     """The composed form with weights and no language filter."""
     best = waterfall(_pages(spark, sf_dir), KeywordMatcher(WEIGHTS), QUERY_TEXT, HashEncoder(), 50)
     return best.select("doc_id", F.round("score", 6).alias("distance"))
 
 
-@query()
+@query(f"SELECT 'item://' || item_id AS uri, {_cut('text', CONTENT_BYTES)} AS content, strlen(text)::BIGINT AS length FROM benchmark WHERE text <> ''")
 def wet_scan(spark, sf_dir):
-    """An archive written from the table, read by the data source."""
-    import gzip
-
-    from gleaner.sources.wet import read_wet
-
-    folder = tempfile.mkdtemp(prefix="gleaner-wet-", dir=os.environ.get("GLEANER_SCRATCH"))
-    try:
-        rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").toLocalIterator()
-        with gzip.open(f"{folder}/sample.warc.wet.gz", "wb") as f:
-            for r in rows:
-                body = r.text.encode()
-                head = f"WARC/1.0\r\nWARC-Type: conversion\r\nWARC-Target-URI: item://{r.item_id}\r\nWARC-Date: 2026-03-03T00:00:00Z\r\nWARC-Identified-Content-Language: eng\r\nContent-Length: {len(body)}\r\n\r\n"
-                f.write(head.encode() + body + b"\r\n\r\n")
-        found = f"{_scratch(spark)}/wet"
-        read_wet(spark, folder, languages=["eng"]).select("uri", "content", "length").write.parquet(found)
-    finally:
-        shutil.rmtree(folder, ignore_errors=True)
-    return spark.read.parquet(found)
-
-
-@query()
+    """Archives that executors write from the table to the shared folder, read back by the record reader."""
+    from gleaner.sources.wet import read_stored
+
+    folder = f"{_scratch(spark)}/wet"
+    rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("text <> ''")
+    head = "WARC/1.0\r\nWARC-Type: conversion\r\nWARC-Target-URI: item://%s\r\nWARC-Date: 2026-03-03T00:00:00Z\r\nWARC-Identified-Content-Language: eng\r\nContent-Length: %d\r\n\r\n%s"
+    records = rows.select(F.format_string(head, F.col("item_id").cast("string"), F.octet_length("text"), "text").alias("value"))
+    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
+    return read_stored(spark, folder, languages=["eng"]).select("uri", "content", "length")
+
+
+@query("SELECT doc_id, strlen(text)::DOUBLE AS score FROM documents ORDER BY score DESC, doc_id LIMIT 20")
 def stream_topk(spark, sf_dir):
     """The running top-k of a stream, drained."""
     from gleaner.streaming.flows import drain, landed, latest_topk, running_topk
@@ -404,10 +429,13 @@ def stream_topk(spark, sf_dir):
 
 
 def _scratch(spark: SparkSession) -> str:
-    import uuid
-
+    """A new folder in the shared one that the session names; a local one only on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{named.rstrip('/')}/gleaner/{uuid.uuid4().hex}" if named else tempfile.mkdtemp(prefix="gleaner-stream-")
+    if named:
+        return f"{named.rstrip('/')}/gleaner/{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="gleaner-")
 
 
 QUERIES["waterfall"] = QUERIES.pop("waterfall_query")

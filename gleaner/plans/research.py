@@ -6,8 +6,9 @@ import json
 import os
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.config import Settings
@@ -24,6 +25,17 @@ from gleaner.sources.wet import read_wet
 LEAST_KEYWORDS = 10
 
 
+def first_of(*sources: Column) -> Column:
+    """Maps of terms by language as one map: a language has the terms of the first source with any; an empty list is none."""
+    some = lambda terms: F.when(F.size(terms) > 0, terms)
+    return reduce(lambda a, b: F.map_zip_with(a, b, lambda _, x, y: F.coalesce(some(x), some(y))), sources)
+
+
+def joined_terms(by_language: Column) -> Column:
+    """The terms of all languages in the order of their codes."""
+    return F.flatten(F.transform(F.filter(F.array_sort(F.map_entries(by_language)), lambda e: e["value"].isNotNull()), lambda e: e["value"]))
+
+
 def cleaned(spark: SparkSession, raw: list[str]) -> list[str]:
     return spark.range(1).select(clean_keywords(F.lit(raw) if raw else F.array().cast("array<string>")).alias("k")).first().k
 
@@ -68,7 +80,7 @@ def research(spark: SparkSession, settings: Settings, client: LLMClient, encoder
     matcher, query = bootstrap(spark, settings, client, fetch)
     if pages is None:
         pages = read_wet(spark, settings.crawl["path"], settings.crawl.get("root", ""), settings.languages)
-    best = waterfall(pages, matcher, query, encoder, settings.capacity, settings.min_keywords, threshold=settings.threshold)
+    best = waterfall(pages, matcher, query, encoder, settings.capacity, settings.min_keywords, threshold=settings.threshold, seen=settings.dedupe_capacity)
     return _report(best, settings, client, "system", "input", prompt)
 
 

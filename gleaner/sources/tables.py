@@ -32,6 +32,13 @@ def web_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.col("url").alias("uri"), utf8_truncate(html_plaintext(F.col("html")), CONTENT_BYTES).alias("content"), _codes(lang).alias("languages"), F.lit(EPOCH).cast("timestamp_ntz").alias("date"), F.octet_length("html").cast("bigint").alias("length"), unscored().alias("score"))
 
 
+def seed_parts(pages: DataFrame, key: str) -> DataFrame:
+    """key, part: what each page adds to the joined text, blank ones left out; no row gathers the text."""
+    texts = pages.select(key, html_plaintext(F.col("html")).alias("part")).where("part <> ''")
+    last = texts.agg(F.max(key)).first()[0]
+    return texts.select(key, F.concat("part", F.when(F.col(key) == last, F.lit("")).otherwise(F.lit("\n\n"))).alias("part"))
+
+
 Fetch = Callable[[str], str]
 
 
@@ -45,6 +52,11 @@ def fetch_text(spark: SparkSession, url: str, fetch: Fetch = http_fetch) -> str:
     return spark.range(1).select(html_plaintext(F.lit(fetch(url))).alias("t")).first().t
 
 
+def query_text(spark: SparkSession, query: str, fetch: Fetch = http_fetch) -> str:
+    """A query as it is, or the text of the page that it names."""
+    return fetch_text(spark, query, fetch) if query.startswith(("http://", "https://")) else query
+
+
 def seed(spark: SparkSession, urls: Sequence[str], fetch: Fetch = http_fetch) -> str:
     """The pages' texts, blank ones left out, with blank lines between; a failing page raises."""
     return "\n\n".join(t for t in (fetch_text(spark, u, fetch) for u in urls) if t)

@@ -7,12 +7,16 @@ like a header; a record whose language isn't wanted is skipped before its body i
 from __future__ import annotations
 
 import gzip
+import io
+import itertools
 import os
+import re
 import urllib.request
 from collections.abc import Callable, Iterator
 from datetime import datetime
 from typing import BinaryIO
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -42,16 +46,27 @@ def wanted_language(listed: str | None, wanted: list[str] | None) -> bool:
     return listed is not None and any(x.strip() in wanted for x in listed.split(","))
 
 
-def _header(stream: BinaryIO) -> dict[str, str]:
-    """First value of each field, up to the blank line; a zero length is looked for again."""
-    out: dict[str, str] = {}
+def _header(stream: BinaryIO, languages: list[str] | None) -> dict[str, str | int | bool]:
+    """The fields up to the blank line: the first value of each; of lengths the first that isn't 0, and of language lines
+    the first that is wanted; whether any type line says conversion. `body` is how far the record goes: an unreadable
+    length counts by its leading digits there, though such a record isn't kept."""
+    out: dict[str, str | int | bool] = {"length": 0, "body": 0, "conversion": False, "wanted": languages is None}
     while line := stream.readline():
         if line in (b"\r\n", b"\n"):
             break
         for name, key in FIELDS.items():
-            if line.startswith(name) and (key not in out or key == "length" and out[key] == "0"):
-                value = line[len(name) :].rstrip(b"\n").removesuffix(b"\r").lstrip(b" \t")
-                out[key] = value.decode("utf-8", "ignore")
+            if not line.startswith(name):
+                continue
+            value = line[len(name) :].rstrip(b"\n").removesuffix(b"\r").lstrip(b" \t").decode("utf-8", "ignore")
+            if key == "kind":
+                out["conversion"] |= value == "conversion"
+            elif key == "length":
+                out["body"] = out["body"] or int(re.match("[0-9]*", value)[0] or 0)
+                out["length"] = out["length"] or (int(value) if re.fullmatch("[0-9]+", value) else 0)
+            elif key != "languages":
+                out.setdefault(key, value)
+            elif key not in out and wanted_language(value, languages):
+                out[key], out["wanted"] = value, True
     return out
 
 
@@ -65,15 +80,15 @@ def records(stream: BinaryIO, languages: list[str] | None = None, content_bytes:
     while line := stream.readline():
         if not line.startswith(MAGIC):
             continue
-        head = _header(stream)
-        length = int(head["length"]) if head.get("length", "").isdecimal() else 0
+        head = _header(stream, languages)
+        length = head["length"]
         try:
             date = datetime.strptime(head.get("date", "")[:19], "%Y-%m-%dT%H:%M:%S")
         except ValueError:
             date = None
-        keep = head.get("kind") == "conversion" and head.get("uri") and date and length and wanted_language(head.get("languages"), languages)
+        keep = head["conversion"] and head.get("uri") and date and length and head["wanted"]
         if not keep:
-            _skip(stream, length)
+            _skip(stream, head["body"])
             continue
         body = stream.read(min(length, content_bytes + 4))
         if len(body) < min(length, content_bytes + 4):
@@ -83,6 +98,17 @@ def records(stream: BinaryIO, languages: list[str] | None = None, content_bytes:
         yield cut(head["uri"], URI_BYTES), truncated(body, content_bytes).decode("utf-8", "ignore"), cut(head.get("languages", ""), LANGUAGE_BYTES), date, length, UNSCORED
 
 
+#: Records handed over at once: some MB at most, as contents are bounded.
+BATCH_RECORDS = 512
+_ARROW = pa.schema([("uri", pa.string()), ("content", pa.string()), ("languages", pa.string()), ("date", pa.timestamp("us")), ("length", pa.int64()), ("score", pa.float64())])
+
+
+def record_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Pages by the batch."""
+    while some := list(itertools.islice(rows, BATCH_RECORDS)):
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*some), _ARROW)], schema=_ARROW)
+
+
 def open_path(path: str) -> BinaryIO:
     if path.startswith(("http://", "https://")):
         return urllib.request.urlopen(path, timeout=30)  # noqa: S310
@@ -105,9 +131,9 @@ class WetReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [WetPartition(p) for p in self.paths]
 
-    def read(self, partition: WetPartition) -> Iterator[tuple]:
+    def read(self, partition: WetPartition) -> Iterator[pa.RecordBatch]:
         with self.opener(partition.path) as raw, gzip.open(raw) as stream:
-            yield from records(stream, self.languages, self.content_bytes)
+            yield from record_batches(records(stream, self.languages, self.content_bytes))
 
 
 class WetDataSource(DataSource):
@@ -151,6 +177,18 @@ def read_wet(spark: SparkSession, path: str, root: str = "", languages: list[str
     return reader.load(path)
 
 
+def read_stored(spark: SparkSession, path: str, languages: list[str] | None = None, content_bytes: int = CONTENT_BYTES) -> DataFrame:
+    """Archives in any store that Spark reads: each file comes to a task as bytes, and its records leave it by the batch."""
+
+    def run(batches):
+        for batch in batches:
+            for file in batch.column(0):
+                with gzip.open(io.BytesIO(file.as_py())) as stream:
+                    yield from record_batches(records(stream, languages, content_bytes))
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInArrow(run, PAGE_SCHEMA)
+
+
 def read_paths(spark: SparkSession, path: str) -> DataFrame:
     """An index as a table of paths."""
     return spark.read.text(path).withColumnRenamed("value", "path")

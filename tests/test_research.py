@@ -44,16 +44,16 @@ def test_request_and_reply(tmp_path):
     assert body["messages"][1] == {"role": "user", "content": "t"} and body["temperature"] == 0.2 and body["enable_thinking"] is False and "max_tokens" not in body
     assert "enable_thinking" not in request_body("m", "s", "t", thinking=True)
     assert message({"choices": [{"message": {"content": " ", "reasoning_content": "r"}}]}) == "r"
-    assert extract_keywords(settings(tmp_path), Canned('{"keywords":["breakout","trend"]}'), "text", ["eng"]) == ["breakout", "trend"]
+    assert extract_keywords(settings(tmp_path), Canned('{"keywords":["ebb","tide"]}'), "text", ["eng"]) == ["ebb", "tide"]
     assert summarize(settings(tmp_path), Canned("short"), "text") == "short"
-    assert target_languages(["eng", "zho", "qqq"]) == "English, Chinese, qqq"
+    assert target_languages(["deu", "fra", "qqq"]) == "German, French, qqq"
 
 
 def test_prompts(spark):
-    df = spark.createDataFrame([("u", "zho,eng", 0.2, "é" * 5000)], "uri string, languages string, score double, content string")
+    df = spark.createDataFrame([("u", "fra,deu", 0.25, "é" * 5000)], "uri string, languages string, score double, content string")
     row = df.select(prompt().alias("a"), local_prompt().alias("b")).first()
-    assert row.a == "URI: u\nLANGUAGE: zho,eng\nSCORE: 0.2\n\n" + "é" * 3000
-    assert row.b.startswith("SOURCE URL: u\nLANGUAGE: zho,eng\nDISTANCE: 0.2\n\nPAGE EXCERPT:\né")
+    assert row.a == "URI: u\nLANGUAGE: fra,deu\nSCORE: 0.25\n\n" + "é" * 3000
+    assert row.b.startswith("SOURCE URL: u\nLANGUAGE: fra,deu\nDISTANCE: 0.25\n\nPAGE EXCERPT:\né")
 
 
 def test_settings_file(tmp_path):
@@ -64,11 +64,11 @@ def test_settings_file(tmp_path):
 
 def test_keyword_sources(spark, tmp_path):
     cache = tmp_path / "cache.json"
-    cache.write_text(json.dumps({"fra": ["tendance"], "eng": ["old"]}))
+    cache.write_text(json.dumps({"fra": ["marée"], "eng": ["old"]}))
     s = settings(tmp_path, keyword_cache=str(cache))
-    s.crawl.update(languages=["eng", "fra", "deu"], manual_keywords={"eng": ["trend"]})
-    assert language_keywords(spark, s, "text", Canned('{"keywords":["ausbruch, trend"]}')) == ["trend", "tendance", "ausbruch"]
-    assert json.loads(cache.read_text())["deu"] == ["ausbruch", "trend"]
+    s.crawl.update(languages=["eng", "fra", "deu"], manual_keywords={"eng": ["tide"]})
+    assert language_keywords(spark, s, "text", Canned('{"keywords":["ebbe, tide"]}')) == ["tide", "marée", "ebbe"]
+    assert json.loads(cache.read_text())["deu"] == ["ebbe", "tide"]
 
 
 def test_bootstrap_guards(spark, tmp_path):
@@ -92,15 +92,15 @@ def test_seeds(spark):
 
 
 def test_research_end_to_end(spark, tmp_path):
-    (tmp_path / "pages.wet.gz").write_bytes(gzip.compress(record("rsi", "word1 word2 strategy") + record("garden", "tomatoes only") + record("fail", "word1 word3 broken")))
+    (tmp_path / "pages.wet.gz").write_bytes(gzip.compress(record("coast", "word1 word2 lighthouse") + record("inland", "wheat fields") + record("fail", "word1 word3 broken")))
     s = settings(tmp_path, keywords=[f"word{i}" for i in range(12)])
     told = research(spark, s, Canned(" found it \n", fail_on="broken"), HashEncoder(), lambda u: "text")
     assert told == {"pages": 2, "written": 1} and report(tmp_path) == "found it\n\n"
 
 
 def test_local_research(spark, tmp_path):
-    (tmp_path / "pages.wet.gz").write_bytes(gzip.compress(record("none", "Gardening and cooking only.")))
-    told = research_local(spark, settings(tmp_path), Canned("x"), HashEncoder(), ["u"], str(tmp_path / "pages.wet.gz"), lambda u: "momentum")
+    (tmp_path / "pages.wet.gz").write_bytes(gzip.compress(record("none", "Wheat and barley fields.")))
+    told = research_local(spark, settings(tmp_path), Canned("x"), HashEncoder(), ["u"], str(tmp_path / "pages.wet.gz"), lambda u: "lighthouse")
     assert told["written"] == 0 and report(tmp_path) == ""
 
 

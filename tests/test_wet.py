@@ -15,12 +15,12 @@ def record(uri, body, languages="eng", kind="conversion", length=None, date="202
 
 @pytest.mark.parametrize("members", [True, False])
 def test_language_filter(spark, tmp_path, members):
-    parts = [record("a", "skip me", "rus")] * 50 + [record("b", "keep me", "eng"), record("c", "keep me too", "zho,eng")]
+    parts = [record("a", "dry land", "ita")] * 50 + [record("b", "ebb", "deu"), record("c", "ebb tide", "fra,deu")]
     path = tmp_path / "lang.wet.gz"
     path.write_bytes(b"".join(gzip.compress(p) for p in parts) if members else gzip.compress(b"".join(parts)))
-    got = read_wet(spark, str(path), languages=["eng"]).collect()
-    assert [(r.uri, r.content, r.languages) for r in got] == [("b", "keep me", "eng"), ("c", "keep me too", "zho,eng")]
-    assert str(got[0].date) == "2026-03-03 00:00:00" and got[0].length == 7 and got[0].score == float("inf")
+    got = read_wet(spark, str(path), languages=["deu"]).collect()
+    assert [(r.uri, r.content, r.languages) for r in got] == [("b", "ebb", "deu"), ("c", "ebb tide", "fra,deu")]
+    assert str(got[0].date) == "2026-03-03 00:00:00" and got[0].length == 3 and got[0].score == float("inf")
     assert read_wet(spark, str(path)).count() == 52
     assert read_wet(spark, str(path), languages=[]).count() == 0
 
@@ -38,6 +38,16 @@ def test_edges():
     assert not list(records(io.BytesIO(record("nolang", "q", languages=None)), ["eng"]))
 
 
+def test_repeated_and_unreadable_fields():
+    head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Type: conversion\r\nWARC-Target-URI: twice\r\nWARC-Date: 2026-03-03T00:00:00Z\r\nWARC-Identified-Content-Language: ita\r\nWARC-Identified-Content-Language: fra,deu\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    inner = record("inner", "q").decode()
+    for wanted, languages in ((["deu"], "fra,deu"), (None, "ita")):
+        assert [(r[0], r[1], r[2]) for r in records(io.BytesIO(head), wanted)] == [("twice", "abc", languages)]
+    assert not list(records(io.BytesIO(head), ["eng"]))
+    # A length that can't be read still frames the body by its digits.
+    assert not list(records(io.BytesIO(record("outer", inner, length=f"{len(inner)}x"))))
+
+
 @pytest.mark.parametrize(("raw", "n", "want"), [(b"a\xe2\x82\xac", 3, 1), (b"\xe2\x82\xac", 2, 0), (b"\xc3\xa9x", 2, 2), (b"abc", 9, 3)])
 def test_boundary(raw, n, want):
     assert len(truncated(raw, n)) == want
