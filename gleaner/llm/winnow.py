@@ -6,7 +6,9 @@ A fingerprint is the comma-joined list of position:hash (eight hex digits) in or
 ones. Likeness is the Jaccard similarity of two fingerprints' hash sets.
 
 Edge cases: null is the empty text; an empty text has the empty fingerprint; a text shorter than a gram is one gram;
-one with fewer grams than a window is one window; two empty fingerprints are alike (1), an empty one and another aren't (0).
+one with fewer grams than a window is one window; two empty fingerprints are alike (1), an empty one and another aren't (0);
+rows of one id, or without an id, follow each other by a hash of their texts and are cut into ranges like any others; rows
+that are equal in both stay together; an empty table gives no rows; long texts are hashed in parts.
 """
 
 from __future__ import annotations
@@ -95,7 +97,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([len(text)], pa.int64()), pa.array([as_text(*winnow(text))])], names=["id", "n_chars", "fingerprint"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, n_chars bigint, fingerprint string")
+    return rows.mapInArrow(bytetext.lean("winnow", run), f"id {docs.schema[id_col].dataType.simpleString()}, n_chars bigint, fingerprint string")
 
 
 _PAIRS = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -132,38 +134,50 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
 
-#: Rows of a range of ids, on average.
+#: Rows of a range of ids, on average, up to MAX_BUCKETS ranges. A task streams its range, so a longer one takes more time
+#: and no more memory.
 BUCKET_ROWS = 4_096
 MAX_BUCKETS = 65_536
+#: Keys that are sampled for each cut between ranges.
+SAMPLED = 20
 
 
-def _cuts_above(k: Column, cuts: list[int]) -> Column:
-    """How many of the ascending cuts are above k: first among every width-th cut, then inside one stretch of that width."""
+def _order_key(k: Column, h: Column) -> Column:
+    """(k, h) as text of one length, in their order."""
+    unsigned = lambda x: F.lpad(F.hex(x.bitwiseXOR(F.lit(-(1 << 63)).cast("bigint"))), 16, "0")
+    return F.concat(unsigned(k), unsigned(h))
+
+
+def _cuts_above(key: Column, cuts: list[str]) -> Column:
+    """How many of the ascending cuts are above key: first among every width-th cut, then inside one stretch of that width."""
     if not cuts:
         return F.lit(0)
     width = math.isqrt(len(cuts)) + 1
-    listed = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")  # noqa: E731  one literal
-    stretch = F.array_size(F.filter(listed(cuts[::width]), lambda c: c <= k))
-    inside = F.array_size(F.filter(F.slice(listed(cuts), F.greatest((stretch - 1) * width + 1, F.lit(1)), F.lit(width)), lambda c: c <= k))
+    listed = lambda values: F.split(F.lit(",".join(values)), ",")  # noqa: E731  one literal
+    stretch = F.array_size(F.filter(listed(cuts[::width]), lambda c: c <= key))
+    inside = F.array_size(F.filter(F.slice(listed(cuts), F.greatest((stretch - 1) * width + 1, F.lit(1)), F.lit(width)), lambda c: c <= key))
     return F.lit(len(cuts)) - F.when(stretch == 0, F.lit(0)).otherwise((stretch - 1) * width + inside)
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document against its edited text and the next document in descending id (after the last: the first).
 
-    Ids are cut into ranges; a range's task sees its documents in order, and the first document of the range below as a
-    ghost, so that texts move once and no task sees more than its range. Rows of one id follow each other in the order
-    of their texts' hashes; rows without an id come last.
+    Ids, and hashes of texts within an id, are cut into ranges; a range's task sees its documents in order, and the first
+    document of the range below as a ghost, so that texts move once and no task sees more than its range. Rows of one id
+    follow each other in the order of their texts' hashes; rows without an id come last.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint")).alias("k"), F.xxhash64("text").alias("h"))
-    total = ids.count()
+    keyed = rows.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint"))).withColumn("h", F.xxhash64("text"))
+    total = rows.count()
     if not total:
         return docs.sparkSession.createDataFrame([], _PAIRS)
     parts = min(MAX_BUCKETS, max(1, round(total / BUCKET_ROWS)))
-    cuts = sorted({int(x) for x in ids.approxQuantile("k", [i / parts for i in range(1, parts)], min(0.01, 0.2 / parts))}) if parts > 1 else []
-    keyed = rows.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint"))).withColumn("h", F.xxhash64("text"))
-    keyed = keyed.withColumn("bucket", _cuts_above(F.col("k"), cuts))
+    cuts: list[str] = []
+    if parts > 1:
+        share = min(1.0, SAMPLED * parts / total)
+        some = sorted(r[0] for r in keyed.sample(fraction=share, seed=20240313).select(_order_key(F.col("k"), F.col("h"))).collect())
+        cuts = sorted({some[i * len(some) // parts] for i in range(1, parts)}) if some else []
+    keyed = keyed.withColumn("bucket", _cuts_above(_order_key(F.col("k"), F.col("h")), cuts))
     heads = stage(keyed.groupBy("bucket").agg(F.max(F.struct("k", "h")).alias("head")).select("bucket", "head.k", "head.h"), "heads")
     order = [r.bucket for r in heads.select("bucket").orderBy("bucket").collect()]
     before = {b: order[i - 1] for i, b in enumerate(order)}  # the range above; the first range's head ends the last one
@@ -172,5 +186,5 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ghosts = keyed.join(ghost_keys.withColumnRenamed("bucket", "b"), (F.col("bucket") == F.col("b")) & (keyed.k == ghost_keys.k) & (keyed.h == ghost_keys.h)).select(F.col("target").alias("bucket"), F.lit(True).alias("ghost"), "doc_id", "text", keyed.k.alias("k"), keyed.h.alias("h"))
     ghosts = ghosts.dropDuplicates(["bucket"])
     real = keyed.select("bucket", F.lit(False).alias("ghost"), "doc_id", "text", "k", "h")
-    dealt = real.unionByName(ghosts).repartition(len(order), "bucket").sortWithinPartitions("bucket", "ghost", F.desc("k"), F.desc("h"))
-    return dealt.select("bucket", "ghost", "doc_id", "text").mapInArrow(_pairs, _PAIRS)
+    dealt = real.unionByName(ghosts).repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("bucket", "ghost", F.desc("k"), F.desc("h"))
+    return dealt.select("bucket", "ghost", "doc_id", "text").mapInArrow(bytetext.lean("winnow", _pairs), _PAIRS)
