@@ -4,26 +4,27 @@ Features are presences of hashed words, word pairs and pairs with one word skipp
 lower-cased; a word is a run of ASCII letters, digits and non-ASCII bytes). Each coordinate has its own learning rate,
 and L1 keeps most weights at zero, so that what scoring needs is a short list of buckets.
 
-Training takes at most `max_rows` labelled documents, those with the smallest hash of their id (the operator's
-parameter); features are extracted on executors and the passes run in one task over that bounded sample. Scoring reads
-whole texts of all rows.
+Training takes at most `max_rows` labelled documents, those with the smallest hash of their id, and of these as many whole
+texts as come to at most `max_bytes` (both are the operator's parameters); features are extracted on executors and the
+passes run in one task over that bounded sample. Scoring reads whole texts of all rows.
 
 Edge cases: null and empty texts score by the bias alone; rows with a null label or id don't train; without labelled
-rows every score is 0.5; a document that is labelled twice trains twice.
+rows every score is 0.5; a document that is labelled twice trains twice, and of rows that share an id only as many as the
+bounds allow train; ties go to the smaller id and label; an empty table gives no rows; very long texts are scored whole.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm import bytetext
 from gleaner.llm.common import spread
 
 BITS = 22
-MAX_ROWS = 10_000
+MAX_ROWS, MAX_BYTES = 10_000, 64 << 20
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.1
 PASSES = 3
 #: The index of the bias, which L1 leaves alone.
@@ -82,13 +83,19 @@ def _train(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({"bucket": pa.array(buckets, pa.int32()), "weight": pa.array(weights)})
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int = MAX_ROWS) -> list[tuple[int, float]]:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> list[tuple[int, float]]:
     """Non-zero weights by bucket: at most 2**BITS + 1, usually a few thousand."""
     order = F.xxhash64("id")
     some = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null").withColumn("order", order).orderBy("order", "id", "label").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(some), "id").select("text", "label", "order")
-    features = spread(rows).mapInArrow(_extract, "label int, order bigint, features array<int>")
+    rows = texts.join(F.broadcast(some), "id").select("text", "label", "order", F.xxhash64("text").alias("h"))
+    # Where the texts of all chosen rows are within both bounds, nothing is left out.
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    if facts.n > max_rows or (facts.bytes or 0) > max_bytes:
+        first = rows.select("order", "h", F.octet_length("text").alias("size")).orderBy("order", "h").limit(max_rows)
+        last = first.withColumn("sum", F.sum("size").over(Window.orderBy("order", "h"))).where(F.col("sum") <= max_bytes).agg(F.max(F.struct("order", "h")).alias("m")).first().m
+        rows = rows.where("false") if last is None else rows.where((F.col("order") < last["order"]) | (F.col("order") == last["order"]) & (F.col("h") <= last["h"])).orderBy("order", "h").limit(max_rows)
+    features = spread(rows.select("text", "label", "order")).mapInArrow(bytetext.lean("toxicity", _extract), "label int, order bigint, features array<int>")
     weights = features.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_train, "bucket int, weight double")
     return [(r.bucket, r.weight) for r in weights.collect()]
 
@@ -108,7 +115,7 @@ def _score(weights: list[tuple[int, float]]):
                 np.add.at(total, key >> 32, table[key & 0xFFFFFFFF])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))], names=["id", "score"])
 
-    return run
+    return bytetext.lean("toxicity", run)
 
 
 def score(docs: DataFrame, weights: list[tuple[int, float]], id_col: str, text_col: str) -> DataFrame:
