@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.chat import format_chats, read_back
+from gleaner.llm.chat import BUDGET, END, START, TURN_TOKENS, format_chats, read_back
 from gleaner.llm.common import table
 
 # Fixed value: the text of both turns of conversation -1.
@@ -29,5 +29,53 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The windows by the same prefix sums, in SQL; BUDGET and HISTORY (two turns) as the operator has them.
+_TOKENS = r"[\p{L}]+|\p{N}|[^ \t\n\x0B\f\r\p{L}\p{N}]"
+_ESCAPED = "replace(replace({}, '&', '&amp;'), '<|', '&lt;|')"
+_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{TRICKY}'), (-1, 1, 'assistant', '{TRICKY}')
+), laid AS (
+  SELECT *, row_number() OVER w AS n, len(regexp_extract_all(text, '{_TOKENS}')) + {TURN_TOKENS} AS tokens,
+         length('{START}' || replace({_ESCAPED.format("role")}, chr(10), '&#10;') || chr(10) || {_ESCAPED.format("text")} || '{END}' || chr(10)) AS chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), costs AS (
+  SELECT *, first_value(role) OVER w = 'system' AS sys, first_value(chars) OVER w AS first_chars,
+         greatest(1, {BUDGET} - CASE WHEN first_value(role) OVER w = 'system' THEN first_value(tokens) OVER w ELSE 0 END) AS space,
+         CASE WHEN first_value(role) OVER w = 'system' AND n = 1 THEN 0 ELSE tokens END AS cost
+  FROM laid WINDOW w AS (PARTITION BY conv_id ORDER BY n)
+), sums AS (
+  SELECT *, cost * 3 > space AS long, coalesce(sum(cost) OVER (PARTITION BY conv_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         lag(tokens, 1) OVER w AS tokens1, lag(tokens, 2) OVER w AS tokens2, lag(chars, 1) OVER w AS chars1, lag(chars, 2) OVER w AS chars2
+  FROM costs WINDOW w AS (PARTITION BY conv_id ORDER BY n)
+), edges AS (
+  SELECT *, long OR coalesce(lag(long) OVER (PARTITION BY conv_id ORDER BY n), true) AS edge FROM sums
+), places AS (
+  SELECT *, ((before - max(CASE WHEN edge THEN before END) OVER (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING)) * 3)::BIGINT // (space * 2) AS place FROM edges
+), fresh AS (
+  SELECT *, edge OR place <> lag(place) OVER (PARTITION BY conv_id ORDER BY n) AS fresh FROM places
+), numbered AS (
+  SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS win FROM fresh
+), windows AS (
+  SELECT conv_id, win, sum(chars) AS own, any_value(space) - sum(cost) AS room, min(n) AS open, any_value(sys) AS sys, any_value(first_chars) AS first_chars,
+         arg_min(tokens1, n) AS tokens1, arg_min(tokens2, n) AS tokens2, arg_min(chars1, n) AS chars1, arg_min(chars2, n) AS chars2
+  FROM numbered GROUP BY conv_id, win
+), lead AS (
+  SELECT *, open > 1 AND NOT (sys AND open = 2) AND tokens1 <= room AS one FROM windows
+), sized AS (
+  SELECT conv_id, sum(own + CASE WHEN sys AND open > 1 THEN first_chars ELSE 0 END + CASE WHEN one THEN chars1 ELSE 0 END
+         + CASE WHEN one AND open > 2 AND NOT (sys AND open = 3) AND tokens1 + tokens2 <= room THEN chars2 ELSE 0 END)::BIGINT AS formatted_chars
+  FROM lead GROUP BY conv_id
+), told AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), '') AS loss
+  FROM laid GROUP BY conv_id
+)
+SELECT t.conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM told t JOIN sized s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
+
 QUERIES = {"op8_chat_formatting": op8_chat_formatting}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_chat_formatting": _SQL}
