@@ -1,7 +1,7 @@
 """Keyword scoring: occurrences (or their weights) of many keywords in one native regex.
 
-Keywords are factored into a trie, so the regex engine takes about as long for thousands of keywords as for ten, and
-optional continuations make matches leftmost-longest. Only A-Z is folded (the regex flag folds ASCII alone, so texts are
+Keywords are factored into a trie whose forks are parted by the next character, so the regex engine takes about as long for
+thousands of keywords as for ten, and optional continuations make matches leftmost-longest. Only A-Z is folded (the regex flag folds ASCII alone, so texts are
 scanned as they are); there are no word boundaries.
 """
 
@@ -36,16 +36,30 @@ def _quote(char: str) -> str:
     return "\\" + char if re.match(r"[\\^$.|?*+()\[\]{}&~#-]", char) else char
 
 
+#: Arms that are tried one after the other; more are parted by a look at the next character.
+ARMS = 4
+
+
+def _parted(arms: list[tuple[str, str]]) -> str:
+    """An alternation of (first character, arm): halves behind a look at the next character, so that a place costs the logarithm
+    of the arms."""
+    if len(arms) <= ARMS:
+        return "|".join(arm for _, arm in arms)
+    half = len(arms) // 2
+    looks = lambda some: f"(?=[{''.join(_quote(char) for char, _ in some)}])(?:{_parted(some)})"
+    return looks(arms[:half]) + "|" + looks(arms[half:])
+
+
 def _branch(node: dict) -> str:
     ends = "" in node
     arms = []
-    for char, child in sorted((c, n) for c, n in node.items() if c):
-        chain = _quote(char)
+    for first, child in sorted((c, n) for c, n in node.items() if c):
+        chain = _quote(first)
         while len(child) == 1 and "" not in child:  # no group for a stretch without forks
             (char, child), = child.items()
             chain += _quote(char)
-        arms.append(chain + (_branch(child) if set(child) != {""} else ""))
-    body = arms[0] if len(arms) == 1 and not ends else "(?:" + "|".join(arms) + ")"
+        arms.append((first, chain + (_branch(child) if set(child) != {""} else "")))
+    body = arms[0][1] if len(arms) == 1 and not ends else "(?:" + _parted(arms) + ")"
     return body + "?" if ends else body
 
 
