@@ -29,7 +29,8 @@ def landed(spark: SparkSession, path: str, schema: StructType, files_per_trigger
 def running_topk(stream: DataFrame, state: str, checkpoint: str, score: str, k: int, ascending: bool = True, tie: str = "uri") -> StreamingQuery:
     """The k best rows so far, in Parquet folders state/batch=N: each batch joins the last one's k rows, and only those.
 
-    A batch that is repeated after a failure overwrites its own folder from the one before, so the result is exact.
+    A batch that is repeated after a failure overwrites its own folder from the one before, so the result is exact; folders
+    before that one are removed.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
@@ -37,10 +38,17 @@ def running_topk(stream: DataFrame, state: str, checkpoint: str, score: str, k:
         if number > 0:
             batch = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{state}/batch={number - 1}"))
         bounded_topk(batch, score, k, ascending, tie).coalesce(1).write.mode("overwrite").parquet(f"{state}/batch={number}")
+        if number > 1:
+            _remove(spark, f"{state}/batch={number - 2}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def latest_topk(spark: SparkSession, state: str) -> DataFrame:
     """The last batch's rows."""
     batches = spark.read.option("basePath", state).parquet(state)

@@ -7,12 +7,16 @@ def put(spark, path, rows, n):
 
 def test_running_topk_resumes(spark, tmp_path):
     path = str(tmp_path)
-    put(spark, path, [("a", "alpha", 0.9), ("b", "beta", 0.4)], 0)
+    put(spark, path, [("a", "alpha", 7.0), ("b", "beta", 3.0)], 0)
     schema = spark.read.parquet(f"{path}/in").schema
     run = lambda: drain(running_topk(landed(spark, f"{path}/in", schema, 1), f"{path}/state", f"{path}/cp", "score", 2), lambda: latest_topk(spark, f"{path}/state"))
-    assert sorted(r.score for r in run().collect()) == [0.4, 0.9]
-    put(spark, path, [("c", "gamma", 1.1), ("d", "delta", 0.1)], 1)
-    assert sorted(r.score for r in run().collect()) == [0.1, 0.4]
+    assert sorted(r.score for r in run().collect()) == [3.0, 7.0]
+    put(spark, path, [("c", "gamma", 8.0), ("d", "delta", 1.5)], 1)
+    assert sorted(r.score for r in run().collect()) == [1.5, 3.0]
+    put(spark, path, [("e", "epsilon", 2.0)], 2)
+    assert sorted(r.score for r in run().collect()) == [1.5, 2.0]
+    # Only the folder of the last batch, and the one it was made from, are kept.
+    assert sorted(x.name for x in (tmp_path / "state").iterdir()) == ["batch=1", "batch=2"]
 
 
 def test_stream_dedups(spark, tmp_path):
