@@ -6,7 +6,8 @@ polynomial hashes modulo 2**64 read off one prefix sum, so that the cost is a fe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,36 @@ NON_WORD[48:58] = NON_WORD[65:91] = NON_WORD[97:123] = NON_WORD[128:] = False
 
 _powers: dict[str, np.ndarray] = {}
 
+#: What each operator does to drop its tables from a worker that goes on to serve another.
+leaving: dict[str, Callable[[], None]] = {}
+
+
+def enter(owner: str) -> None:
+    for name, drop in leaving.items():
+        if name != owner:
+            drop()
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
+
+
+def lean(owner: str, run: Callable) -> Callable:
+    """run (batches in, batches out) in a worker that keeps little afterwards: other operators' tables go first, and freed
+    memory goes back to the system at the end, as the worker lives on beside an executor that wants it."""
+
+    def whole(batches):
+        enter(owner)  # functions of this module are the worker's own; its tables must not travel
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return whole
+
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n at least."""

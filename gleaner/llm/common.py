@@ -52,10 +52,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch on its way to Python and back, and Spark's own default, which is sixteen times as much.
+BATCH_BYTES, SPARK_BATCH_BYTES = 4 << 20, "67108864b"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows over all cores when the scan has fewer splits than cores (one small file); large scans stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows on their way to Python. They are dealt over all cores when the scan has fewer splits than cores (one small file);
+    large scans stay as they are. Batches are kept small unless the session has a size of its own."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == SPARK_BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    cores = spark.sparkContext.defaultParallelism
+    # By a hash of the row's number: dealing in turns would sort whole rows first.
+    return df.repartition(cores, F.monotonically_increasing_id()) if df.rdd.getNumPartitions() < cores else df
 
 
 def fold(id_col: str, parts: int):

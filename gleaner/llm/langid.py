@@ -142,7 +142,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language
     # About twice the rows wanted of each language are ranked, however common it is.
     drawn = known.withColumn("u", F.rand(20240317)).join(few(sizes), "lang").where(F.col("u") * F.col("n") < 2 * per_language)
     ranked = drawn.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("u"))).where(F.col("r") <= per_language)
-    profiles = stage(ranked.select("text", "lang", "r").mapInArrow(_profiles, "lang string, r int, index array<int>, share array<float>").where(F.size("index") > 0), "profiles")
+    profiles = stage(ranked.select("text", "lang", "r").mapInArrow(bytetext.lean("langid", _profiles), "lang string, r int, index array<int>, share array<float>").where(F.size("index") > 0), "profiles")
     langs = sorted(r.lang for r in profiles.select("lang").distinct().collect())
     own: dict[str, list[str]] = {}
     for x in langs:
@@ -219,7 +219,7 @@ def _predict(model: dict, pairs: list, weights: np.ndarray, bias: np.ndarray, fi
                     packed = pa.array([state[:, i].astype("<f8").tobytes() for i in range(end - at)], pa.binary())
                     yield pa.RecordBatch.from_arrays([cut("id"), cut("text"), cut("letters"), packed], names=["id", "text", "letters", "state"])
 
-    return run
+    return bytetext.lean("langid", run)
 
 
 def predict(docs: DataFrame, model: dict, id_col: str, text_col: str) -> DataFrame:

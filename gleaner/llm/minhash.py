@@ -50,6 +50,14 @@ TILE_SHINGLES = 1 << 20
 _rows: np.ndarray | None = None
 
 
+def _leave() -> None:
+    global _rows
+    _rows = None
+
+
+bytetext.leaving["minhash"] = _leave
+
+
 def circulant_rows() -> np.ndarray:
     """Row p holds pi[p - k] for every coordinate k: a view on pi, once doubled at its end."""
     global _rows
@@ -143,7 +151,7 @@ def _features(size: int):
                 own = [batch.column(x).slice(at, end - at) for x in ("doc_id", "row")]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(bounds)), *map(pa.array, set_hashes(values, bounds)), ragged(bands), ragged(sketch)], names=[x.split()[0] for x in _FEATURES.split(", ")])
 
-    return run
+    return bytetext.lean("minhash", run)
 
 
 def _sets(size: int):
@@ -154,7 +162,7 @@ def _sets(size: int):
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*map(pa.array, set_hashes(values, bounds)), lists], names=["set_a", "set_b", "shingles"])
 
-    return run
+    return bytetext.lean("minhash", run)
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -18,8 +18,7 @@ table gives no rows; further columns are ignored; a very long text is a block of
 from __future__ import annotations
 
 import array
-import itertools
-import json
+import functools
 import os
 import zlib
 
@@ -36,9 +35,9 @@ OPEN_BINS = 1024
 #: Pieces that one group packs, on average.
 GROUP_PIECES = 32_768
 #: Chunks whose ids a worker keeps, and chunks that are encoded at once.
-CACHE_CHUNKS, MISSES_AT_ONCE = 400_000, 4096
+CACHE_CHUNKS, MISSES_AT_ONCE = 200_000, 4096
 #: Bytes of text encoded at once.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 # The tokenizer's split pattern for Latin-1 text. What is no letter, digit or space is a sign; a digit is a part
@@ -105,20 +104,23 @@ def latin_parts(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndar
 
 
 class _Cache:
-    """Chunk to its place in bounds; the chunks' ids stand one after the other."""
+    """Chunks in Arrow, and the bounds of their ids, which stand one after the other: a tenth of what Python strings take."""
 
     def __init__(self):
-        self.place: dict[str, int] = {}
-        self.ids, self.bounds = array.array("I"), array.array("q", [0])
+        self.names = pa.array([], pa.string())
+        self.ids, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def add(self, chunks: list[str], ids: array.array, ends: array.array) -> None:
+    def places(self, names: pa.Array) -> np.ndarray:
+        """The place of each chunk, -1 for those that aren't here."""
+        return pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy()
+
+    def add(self, names: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
         """The chunks that come first are the frequent ones; a full cache stays as it is."""
-        chunks = chunks[: CACHE_CHUNKS - len(self.place)]
-        if chunks:
-            self.place.update(zip(chunks, range(len(self.place), len(self.place) + len(chunks))))
-            base = len(self.ids)
-            self.ids.extend(ids[: ends[len(chunks)]])
-            self.bounds.extend(base + x for x in ends[1 : len(chunks) + 1])
+        room = min(CACHE_CHUNKS - len(self.names), len(names))
+        if room > 0:
+            self.names = pa.concat_arrays([self.names, names.slice(0, room)])
+            self.bounds = np.concatenate([self.bounds, ends[1 : room + 1] + len(self.ids)])
+            self.ids = np.concatenate([self.ids, ids[: ends[room]]])
 
 
 class ChunkEncoder:
@@ -126,44 +128,47 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            plain = json.load(f)
-        plain["normalizer"], plain["pre_tokenizer"] = None, plain["pre_tokenizer"]["pretokenizers"][-1]
-        # The merges alone, for parts that are normalised and split already.
-        self.merges = Tokenizer.from_str(json.dumps(plain))
+        self.path = path
+        # The merges alone, for parts that are normalised and split already; bytes still stand for themselves.
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer, self.merges.pre_tokenizer = None, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.caches = {True: _Cache(), False: _Cache()}
 
-    def learn(self, chunks: list[str], tokenizer) -> tuple[array.array, array.array]:
+    @functools.cached_property
+    def whole(self):
+        """All of the tokenizer, for texts beyond Latin-1."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def learn(self, chunks: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks in a row, where each chunk's end) of chunks that aren't in the cache."""
         ids, ends = array.array("I"), array.array("q", [0])
         for at in range(0, len(chunks), MISSES_AT_ONCE):
             for e in tokenizer.encode_batch_fast(chunks[at : at + MISSES_AT_ONCE], add_special_tokens=False):
                 ids.extend(e.ids)
                 ends.append(len(ids))
-        return ids, ends
+        return np.frombuffer(ids, np.uint32), np.frombuffer(ends, np.int64)
 
     def _looked_up(self, chunks: pa.Array, plain: bool) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks in a row, bounds of the chunks). Parts of plain texts and chunks of others have caches of their own."""
         cache = self.caches[plain]
         told = chunks.dictionary_encode()
-        names, codes = told.dictionary.to_pylist(), told.indices.to_numpy()
-        place = np.array(list(map(cache.place.get, names, itertools.repeat(-1))), dtype=np.int64)
-        new = np.flatnonzero(place < 0)
-        fresh = [names[i] for i in new.tolist()]
-        ids, ends = self.learn(fresh, self.merges if plain else self.tokenizer)
-        known, bounds, fresh_ends = (np.frombuffer(x, k) for x, k in ((cache.ids, np.uint32), (cache.bounds, np.int64), (ends, np.int64)))
-        old = np.flatnonzero(place >= 0)
-        starts, sizes = np.empty(len(names), np.int64), np.empty(len(names), np.int64)
-        starts[old], sizes[old] = bounds[place[old]], bounds[place[old] + 1] - bounds[place[old]]
-        starts[new], sizes[new] = fresh_ends[:-1] + len(known), np.diff(fresh_ends)
+        place = cache.places(told.dictionary)
+        old, new = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+        fresh = told.dictionary.take(pa.array(new))
+        ids, ends = self.learn(fresh.to_pylist(), self.merges if plain else self.whole) if len(fresh) else (cache.ids[:0], np.zeros(1, np.int64))
+        starts, sizes = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+        starts[old], sizes[old] = cache.bounds[place[old]], cache.bounds[place[old] + 1] - cache.bounds[place[old]]
+        starts[new], sizes[new] = ends[:-1] + len(cache.ids), np.diff(ends)
+        codes = told.indices.to_numpy()
         counts = sizes[codes]
         edge = np.concatenate([[0], np.cumsum(counts)])
-        spots = np.repeat(starts[codes] - edge[:-1], counts) + np.arange(edge[-1])
-        out = np.concatenate([known, np.frombuffer(ids, np.uint32)])[spots]
-        del known, bounds  # views that keep the cache from growing
+        spots = np.repeat(starts[codes] - edge[:-1], counts)
+        spots += np.arange(edge[-1])
+        out = np.concatenate([cache.ids, ids])[spots]
         cache.add(fresh, ids, ends)
         return out, edge
 
@@ -204,6 +209,7 @@ class ChunkEncoder:
 
 
 _encoders: dict[str, ChunkEncoder] = {}
+bytetext.leaving["packing"] = _encoders.clear
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -237,7 +243,7 @@ def _pieces(path: str, capacity: int, closing: int):
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return run
+    return bytetext.lean("packing", run)
 
 
 def best_fit(lengths, capacity: int, open_bins: int = OPEN_BINS):
