@@ -1,8 +1,13 @@
 """A corpus pipeline over documents: language ID, near-duplicates, decontamination, secrets, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and reread as the next
-stage's docs. All stages but the last return the columns of documents. Rows with a null doc_id can't be told apart by
-later stages and are rejected by the first one, with texts that are null or have no letter.
+stage's docs. All stages but the last return the columns of documents.
+
+Edge cases, in every stage: an empty table gives an empty one; further columns are carried, whatever their names; rows are
+told apart by id and text, so an id that several texts have loses only those that are rejected; of rows that are equal in
+both, near-duplicates keep one and the other stages treat all alike; texts of any length are read whole; nulls in other
+columns are carried. Rows with a null doc_id, texts that are null and texts without a letter are rejected by the first
+stage; a later stage taken alone keeps them, as it finds nothing in them.
 """
 
 from __future__ import annotations
@@ -44,7 +49,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One text of each group stays, the one with the smallest key: shingles of five words, similarity 0.8 or more."""
+    """One text of each group stays, the one with the smallest key: shingles of five words, similarity 0.8 or more. Texts
+    without a word are in no group; ties between equal rows are settled by keeping one of them."""
     keyed, key = _keyed(docs)
     found = stage(minhash.near_duplicates(keyed, key, shingle=5, percent=80), "near")
     # Only rows of one id and one text share a key.
@@ -54,7 +60,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, for each of their rows; without a benchmark all stay."""
     keyed, key = _keyed(docs)
     return _without(keyed, key, decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), key).select("doc_id"))
 
@@ -77,7 +83,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents in sequences of at most 2048 tokens."""
+    """Pieces of the remaining documents in sequences of at most 2048 tokens; a null text is an empty one."""
     return packing.pack(docs, tokenizer_path(), capacity=2048, closing=0)
 
 
@@ -89,7 +95,7 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Models, sketches and token ids are beyond SQL; the tests hold each stage against a brute-force version.
+#: Models, sketches and token ids are beyond SQL; tests/llm/test_pipeline.py holds each stage against a plain version.
 ORACLE_SQL = None
 
 
