@@ -20,6 +20,7 @@ from gleaner.operators.select import EmbeddingSelector, KeywordSelector, select,
 from gleaner.operators.topk import bounded_topk, grouped_topk
 from gleaner.plans.research import first_of, joined_terms
 from gleaner.schema import CONTENT_BYTES, PROMPT_BYTES
+from gleaner.session import few_splits
 from gleaner.sources.tables import document_pages, seed_parts, web_pages
 
 QUERIES: dict = {}
@@ -46,8 +47,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     # A single small file is one split; deal it out before costly expressions. Large tables have splits enough. By a hash of
     # the row's number: dealing in turns would sort whole rows first.
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, F.monotonically_increasing_id()) if df.rdd.getNumPartitions() < min(cores, 4) else df
+    return df.repartition(spark.sparkContext.defaultParallelism, F.monotonically_increasing_id()) if few_splits(df) else df
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
