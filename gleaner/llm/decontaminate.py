@@ -2,12 +2,14 @@
 
 Passages are WINDOW words of a document, a new one every STRIDE words. TF-IDF uses hashed words; document frequencies
 are counted over all passages' stretches of the corpus. A randomised SVD of the TF-IDF matrix A of passages gives the
-latent space: executors multiply their rows with a random matrix and their transposed selves (two passes), only
-features x rank sums come back, and a Rayleigh-Ritz step (the eigenvectors of Q^T A^T A Q) turns the basis into right
-singular vectors, of which the RANK strongest stay. A word adds its row of them, at length one, times its squared
-inverse frequency: without that length the few common words fill the space (invented or rare words have a flat
-spectrum). The index is fitted on a bounded random sample of documents (`fit_docs`, the operator's parameter);
-frequencies, projection and search cover every passage of every document.
+latent space, over every passage of every document and item: the pass that counts also sketches the rows (each stretch
+goes, with a sign, to a few columns that its words' hash names), a second one multiplies A with the sketch's basis Q and
+with its transposed self, only features x rank sums come back, and a Rayleigh-Ritz step (the eigenvectors of
+Q^T A^T A Q) turns the basis into right singular vectors, of which the RANK strongest stay, each divided by its singular
+value: on large corpora the few topics fill the space otherwise. A word adds its row of them, at length one, times its
+squared inverse frequency: without that length the few common words fill the space (invented or rare words have a flat
+spectrum). Words that no item has add nothing: they can't speak for a leak, only hide one. Each core sums in one task,
+and executors add these sums up by slices of features.
 
 Items are cut into windows of a passage's length. Each passage is compared with all windows of the items by cosine in
 the latent space, the items (a stated query set) in blocks of bounded size, one search for each block. A window shorter
@@ -24,8 +26,6 @@ empty benchmark or corpus gives no rows; repeated rows give a row each.
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,15 +43,19 @@ RANK, EXTRA = 192, 16
 COSINE = 0.5
 CONTAINED, PARAPHRASED, ANSWER_WORDS, ANSWER_SHARE = 0.8, 0.6, 6, 0.8
 MIN_WORDS, LEAST_WORDS = 8, 3
-FIT_DOCS = 2_000
-FIT_TASKS = 6
+#: Columns of the sketch that a stretch goes to: enough for the sketch of few stretches to keep their rank.
+SPOTS = 4
 #: UTF-8 bytes of the items that one search takes, on average over the blocks; an item is never cut.
 ITEM_BYTES = 1 << 19
 BLOCKS = WINDOW // STRIDE
 #: Rows of the vectors that are summed at once: they stay in a core's cache.
 SOME = 256
 #: Features whose sums travel in one row.
-SLICE = 1024
+SLICE = 128
+#: Stretches of a long text that are multiplied at once.
+PART = 4096
+#: Rows that are added in one run, halved down to one for what is left of a feature's rows.
+RUN = 64
 
 
 def _words(texts: pa.Array):
@@ -78,86 +82,184 @@ def windows(sums: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     out = sums.copy()
     row_end = np.repeat(bounds[1:], np.diff(bounds))
     for k in range(1, min(BLOCKS, len(sums))):
-        inside = np.arange(len(sums) - k) + k < row_end[:-k]
-        out[:-k] += np.where(inside[:, None], sums[k:], 0)
+        _add_inside(out[:-k], sums[k:], np.arange(len(sums) - k) + k < row_end[:-k])
     return out
 
 
-def _frequencies(batches):
-    """How many stretches hold each feature, and how many there are: one array a task."""
+def _add_inside(out: np.ndarray, more: np.ndarray, inside: np.ndarray) -> None:
+    """out += more in the rows inside; the few others are put back, which is faster than to mask all."""
+    others = np.flatnonzero(~inside)
+    kept = out[others]
+    out += more
+    out[others] = kept
+
+
+def _sketched(batches):
+    """How many stretches hold each feature, and how many there are (at -1); the sketch of the stretches' rows of counts, a
+    row for each SLICE features."""
     total = np.zeros(FEATURES + 1, dtype=np.int64)
+    sketch = np.zeros((FEATURES, RANK + EXTRA), dtype=np.float32)
     for batch in batches:
         for _, _, hashes, first in _words(batch.column(0)):
             starts, _ = stretches(first)
             if len(starts):
                 ids = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(hashes))))
-                key = np.sort(ids << BITS | feature(hashes))
+                words = feature(hashes)
+                key = np.sort(ids << BITS | words)
                 new = np.concatenate([[True], key[1:] != key[:-1]])
                 total[:FEATURES] += np.bincount(key[new] & (FEATURES - 1), minlength=FEATURES)
                 total[FEATURES] += len(starts)
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["feature", "n"])
+                own = np.add.reduceat(hashes, starts)
+                row = words * sketch.shape[1]
+                for spot in range(SPOTS):
+                    draw = bytetext.mix(own + np.uint64(spot))
+                    column = ((draw >> np.uint64(1)) % np.uint64(sketch.shape[1])).astype(np.int64)
+                    sign = np.where(draw & np.uint64(1), np.float32(1), np.float32(-1))
+                    np.add.at(sketch.reshape(-1), row + column[ids], sign[ids])
+    yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["at", "sums"])
+    yield from _slices(sketch)
 
 
-def _vectors(hashes: np.ndarray, first: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(unit latent vector of each passage, bounds of the rows); table holds what a feature adds, and zeros behind the last."""
+def _slices(total: np.ndarray):
+    for at in range(0, FEATURES, SLICE):
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total[at : at + SLICE].astype("<f4").tobytes()], pa.binary())], names=["at", "sums"])
+
+
+def _laid_out(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(feature of word k of each stretch in row k, bounds of the rows); a short one is filled up with FEATURES, which adds nothing."""
     starts, bounds = stretches(first)
     if not len(starts):
-        return np.zeros((0, table.shape[1]), np.float32), bounds
-    # Word k of each stretch; a short one is filled up with the feature that adds nothing.
+        return np.zeros((STRIDE, 0), np.int64), bounds
     lengths = np.minimum(STRIDE, np.repeat(first[1:], np.diff(bounds)) - starts)
     spots = starts + np.arange(STRIDE)[:, None]
-    words = np.where(np.arange(STRIDE)[:, None] < lengths, feature(hashes)[np.minimum(spots, len(hashes) - 1)], FEATURES)
-    out = np.empty((len(starts), table.shape[1]), dtype=np.float32)
+    return np.where(np.arange(STRIDE)[:, None] < lengths, feature(hashes)[np.minimum(spots, len(hashes) - 1)], FEATURES), bounds
+
+
+def _taken(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of the table's rows that each column of rows names."""
+    out = np.empty((rows.shape[1], table.shape[1]), dtype=np.float32)
     more = np.empty((SOME, table.shape[1]), dtype=np.float32)
-    for at in range(0, len(starts), SOME):
+    for at in range(0, len(out), SOME):
         some = out[at : at + SOME]
-        np.take(table, words[0, at : at + SOME], axis=0, out=some, mode="clip")
-        for k in range(1, STRIDE):
-            some += np.take(table, words[k, at : at + SOME], axis=0, out=more[: len(some)], mode="clip")
-    out = windows(out, bounds)
+        np.take(table, rows[0, at : at + SOME], axis=0, out=some, mode="clip")
+        for k in range(1, len(rows)):
+            some += np.take(table, rows[k, at : at + SOME], axis=0, out=more[: len(some)], mode="clip")
+    return out
+
+
+def _vectors(hashes: np.ndarray, first: np.ndarray, table: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit latent vector of each passage, bounds of the rows); table holds in a feature's place what it adds."""
+    words, bounds = _laid_out(hashes, first)
+    out = windows(_taken(table, place[words]), bounds)
     out /= np.maximum(np.sqrt(np.einsum("ij,ij->i", out, out)), 1e-9)[:, None]
     return out, bounds
 
 
+def _squared_lengths(words: np.ndarray, bounds: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """Of each passage's TF-IDF row, for the words of its stretches; squares holds the squared weight of a feature, and zeros behind."""
+    n = words.shape[1]
+    row_end = np.repeat(bounds[1:], np.diff(bounds))
+    held = np.full((n, WINDOW), FEATURES, dtype=np.int16)
+    held[:, :STRIDE] = words.T
+    for k in range(1, min(BLOCKS, n)):
+        inside = np.arange(n - k) + k < row_end[:-k]
+        held[: n - k, k * STRIDE : (k + 1) * STRIDE] = np.where(inside, words[:, k:], FEATURES).T
+    gaps = held == FEATURES
+    if gaps.any():
+        held += gaps * np.arange(WINDOW, dtype=np.int16)  # they equal nothing
+    held.sort(axis=1)
+    weights = squares[held]
+    out = weights.sum(axis=1)
+    # A word that is there c times counts c * c: itself, and twice each pair of its places.
+    some = np.arange(n)
+    for k in range(1, WINDOW):
+        same = held[:, k:] == held[:, :-k]
+        more = np.flatnonzero(same.any(axis=1))
+        if not len(more):
+            break
+        held, some, weights = held[more], some[more], weights[more]
+        out[some] += 2 * (weights[:, k:] * same[more]).sum(axis=1)
+    return out
+
+
+def _add_rows(total: np.ndarray, words: np.ndarray, rows: np.ndarray) -> None:
+    """Adds row s of rows to the total of each word in column s of words."""
+    flat = words.astype(np.int16).reshape(-1)
+    order = np.argsort(flat, kind="stable")
+    order = order[: np.searchsorted(flat, FEATURES, sorter=order)]
+    flat, of = flat[order], order % words.shape[1]
+    if not len(flat):
+        return
+    spot = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    counts = np.diff(np.append(spot, len(flat)))
+    named = flat[spot].astype(np.int64)
+    for size in (RUN >> k for k in range(RUN.bit_length())):
+        runs = counts // size
+        begin = np.repeat(spot, runs) + (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)) * size
+        if len(begin):
+            sums = _taken(rows, of[begin + np.arange(size)[:, None]])
+            if size == RUN:  # the only size of which a feature may have several
+                own = np.flatnonzero(runs)
+                total[named[own]] += np.add.reduceat(sums, (np.cumsum(runs) - runs)[own], axis=0)
+            else:
+                total[named[np.flatnonzero(runs)]] += sums
+        spot, counts = spot + runs * size, counts % size
+
+
 def _products(idf: np.ndarray, right: np.ndarray):
     """Each task's sum of A^T (A right) over its unit TF-IDF passages A, a row for each SLICE features."""
 
     def run(batches):
         total = np.zeros_like(right)
+        weighted = np.zeros((FEATURES + 1, right.shape[1]), dtype=np.float32)
+        np.multiply(right, idf[:, None], out=weighted[:-1])
+        squares = np.append(idf * idf, np.zeros(WINDOW, np.float32))
         for batch in batches:
             for _, _, hashes, first in _words(batch.column(0)):
-                starts, bounds = stretches(first)
-                if not len(starts):
-                    continue
-                words = feature(hashes)
-                edge = np.append(starts, len(hashes))
-                for r in range(len(bounds) - 1):
-                    low, high = bounds[r], bounds[r + 1]
-                    if high <= low:
-                        continue
-                    own = words[edge[low] : edge[high]]
-                    used, place = np.unique(own, return_inverse=True)
-                    for at in range(low, high, 256):  # a dense block over the document's own features
-                        end = min(high, at + 256)
-                        last = min(high, end + BLOCKS - 1)
-                        part = place[edge[at] - edge[low] : edge[last] - edge[low]]
-                        of = np.repeat(np.arange(last - at), np.diff(edge[at : last + 1]))
-                        dense = np.bincount(of * len(used) + part, minlength=(last - at) * len(used)).reshape(last - at, len(used)).astype(np.float32)
-                        full = dense[: end - at].copy()
-                        for k in range(1, BLOCKS):
-                            some = min(end - at, last - at - k)
-                            if some > 0:
-                                full[:some] += dense[k : k + some]
-                        full *= idf[used]
-                        full /= np.maximum(np.linalg.norm(full, axis=1, keepdims=True), 1e-9)
-                        total[used] += full.T @ (full @ right[used])
-        for at in range(0, FEATURES, SLICE):
-            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([total[at : at + SLICE].astype("<f4").tobytes()], pa.binary())], names=["at", "sums"])
+                words, bounds = _laid_out(hashes, first)
+                for low in range(0, words.shape[1], PART):
+                    # The passages that begin in a part reach into the stretches behind it.
+                    high = min(low + PART, words.shape[1])
+                    last = min(high + BLOCKS - 1, words.shape[1])
+                    part, inner = words[:, low:last], np.clip(bounds, low, last) - low
+                    n, row_end = high - low, np.repeat(inner[1:], np.diff(inner))
+                    along = windows(_taken(weighted, part), inner)[:n]
+                    along /= np.maximum(_squared_lengths(part, inner, squares)[:n], 1e-18)[:, None]
+                    back = np.zeros((last - low, right.shape[1]), dtype=np.float32)
+                    back[:n] = along
+                    for k in range(1, BLOCKS):
+                        some = min(n, last - low - k)
+                        if some > 0:
+                            _add_inside(back[k : k + some], along[:some], np.arange(some) + k < row_end[:some])
+                    _add_rows(total, part, back)
+        total *= idf[:, None]
+        yield from _slices(total)
 
     return run
 
 
+def _added(batches):
+    """The sum of one slice over its tasks, in the order of their numbers: floats add up alike in every run."""
+    rows = sorted((task, at, sums) for b in batches for task, at, sums in zip(*(b.column(n).to_pylist() for n in ("task", "at", "sums"))))
+    at = rows[0][1]
+    total = sum(np.frombuffer(sums, dtype="<i8" if at < 0 else "<f4") for _, _, sums in rows)
+    return pa.table({"at": pa.array([at], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+
+def _summed(texts: DataFrame, run) -> dict[int, bytes]:
+    """What run gives over all texts, by slices. A task for each core: every task's sums are as large as the result."""
+    parts = texts.coalesce(texts.sparkSession.sparkContext.defaultParallelism).mapInArrow(bytetext.lean("decontaminate", run), "at int, sums binary")
+    numbered = parts.withColumn("task", F.spark_partition_id())
+    return {r.at: r.sums for r in numbered.groupBy("at").applyInArrow(lambda t: _added(t.to_batches()), "at int, sums binary").toLocalIterator()}
+
+
+def _matrix(sums: dict[int, bytes]) -> np.ndarray:
+    out = np.zeros((FEATURES, RANK + EXTRA), dtype=np.float32)
+    for at in [at for at in sums if at >= 0]:
+        out[at : at + SLICE] = np.frombuffer(sums.pop(at), dtype="<f4").reshape(-1, out.shape[1])
+    return out
+
+
 def orthonormal(columns: np.ndarray) -> np.ndarray:
     """An orthonormal basis of the columns' span, by Cholesky factors of their small product, twice; in single precision, as
     double copies of all rows are what the driver would need most memory for."""
@@ -170,42 +272,36 @@ def orthonormal(columns: np.ndarray) -> np.ndarray:
 
 def rayleigh_ritz(basis: np.ndarray, product: np.ndarray, rank: int) -> np.ndarray:
     """The strongest right singular vectors of A in the span of A^T A basis; product is A^T A basis, basis is orthonormal."""
+    return _ritz(basis, product, rank)[0]
+
+
+def _ritz(basis: np.ndarray, product: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """These vectors and their squared singular values."""
     inner = (basis.T @ product).astype(np.float64)
     values, rotation = np.linalg.eigh((inner + inner.T) / 2)
     strongest = np.argsort(-values)[:rank]
     # A^T A (basis v) / value is the Ritz vector after one more power step.
-    return orthonormal(product @ (rotation[:, strongest] / np.maximum(values[strongest], 1e-12)).astype(np.float32))
+    return orthonormal(product @ (rotation[:, strongest] / np.maximum(values[strongest], 1e-12)).astype(np.float32)), values[strongest]
 
 
-def _summed(sample: DataFrame, items: pa.Array, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A^T A basis over the sample's passages and the items'."""
-    total = np.zeros_like(basis)
-    run = _products(idf, basis)
-    rows = ((r.at, r.sums) for r in sample.mapInArrow(bytetext.lean("decontaminate", run), "at bigint, sums binary").toLocalIterator())
-    own = ((b.column(0)[0].as_py(), b.column(1)[0].as_buffer()) for b in run([pa.RecordBatch.from_arrays([items], names=["text"])]))
-    for at, sums in itertools.chain(rows, own):
-        total[at : at + SLICE] += np.frombuffer(sums, dtype="<f4").reshape(-1, total.shape[1])
-    return total
-
-
-def latent_table(docs: DataFrame, items: pa.Array, text_col: str, fit_docs: int) -> np.ndarray:
+def latent_table(docs: DataFrame, items: DataFrame, text_col: str) -> np.ndarray:
     """(features + 1) x rank: what a word adds to a passage's latent vector; the last row is zero."""
-    text = F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text")
-    counts = np.zeros(FEATURES + 1)
-    for r in spread(docs.select(text)).mapInArrow(bytetext.lean("decontaminate", _frequencies), "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).collect():
-        counts[r.feature] = r.n
+    texts = spread(docs.select(F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text")))
+    found, own = _summed(texts, _sketched), _summed(items.select("text"), _sketched)
+    counts = np.frombuffer(found[-1], dtype="<i8") if found else np.zeros(FEATURES + 1)
     idf = np.log((counts[FEATURES] + 1) / (counts[:FEATURES] + 1)).astype(np.float32) + np.float32(0.1)
-    # Drawn by row: an id or a text that many rows have weighs as its rows do.
-    sample = docs.select(text).sample(fraction=min(1.0, fit_docs / max(1, docs.count())), seed=20240311).repartition(FIT_TASKS)
-    product = np.random.default_rng(20240311).standard_normal((FEATURES, RANK + EXTRA), dtype=np.float32)
-    for _ in range(2):
-        basis = orthonormal(product)
-        product = _summed(sample, items, idf, basis)
-    vectors = rayleigh_ritz(basis, product, RANK)
+    held = np.frombuffer(own[-1], dtype="<i8")[:FEATURES] > 0
+    basis = _matrix(found)
+    basis += _matrix(own)
+    basis *= idf[:, None]
+    basis = orthonormal(basis)
+    product = _matrix(_summed(texts.union(items.select("text")), _products(idf, basis)))
+    vectors, values = _ritz(basis, product, RANK)
     del basis, product
+    vectors /= np.sqrt(np.maximum(values, 1e-6 * values[0]) + 1e-30).astype(np.float32)
     table = np.zeros((FEATURES + 1, RANK), dtype=np.float32)
     np.divide(vectors, np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9), out=table[:-1])
-    table[:-1] *= (idf**2)[:, None]
+    table[:-1] *= np.where(held, idf**2, 0)[:, None]
     return table
 
 
@@ -282,6 +378,10 @@ class _Items:
 def _search(table: np.ndarray, item_ids: list, item_texts: pa.Array, cosine: float, contained: float, paraphrased: float):
     def run(batches):
         items = _Items(table, item_ids, item_texts, cosine)
+        # The rows that add something, together and before one of zeros for all others: so they stay in a core's cache.
+        held = table.any(axis=1)
+        dense = np.concatenate([table[held], np.zeros((1, table.shape[1]), np.float32)])
+        place = np.where(held, np.cumsum(held) - 1, len(dense) - 1)
         for batch in batches:
             for at, end, hashes, first in _words(batch.column(1)):
                 best: dict[int, tuple] = {}
@@ -290,7 +390,7 @@ def _search(table: np.ndarray, item_ids: list, item_texts: pa.Array, cosine: flo
                     if r not in best or found > best[r]:
                         best[r] = found
 
-                passages, bounds = _vectors(hashes, first, table)
+                passages, bounds = _vectors(hashes, first, dense, place)
                 row_of = np.repeat(np.arange(end - at), np.diff(bounds))
                 for low in range(0, len(passages), SOME) if len(items.owner) else ():
                     like = passages[low : low + SOME] @ items.vectors.T
@@ -321,7 +421,7 @@ def _search(table: np.ndarray, item_ids: list, item_texts: pa.Array, cosine: flo
     return bytetext.lean("decontaminate", run)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS, cosine: float = COSINE, contained: float = CONTAINED, paraphrased: float = PARAPHRASED) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", cosine: float = COSINE, contained: float = CONTAINED, paraphrased: float = PARAPHRASED) -> DataFrame:
     """doc_id, item_id, share (of the item's words found in order), cosine: a row for each document that leaks an item, with its best one."""
     text = F.lower(F.coalesce(F.col(text_col), F.lit("")))
     # Equal items are one query, and so can't fill a block.
@@ -334,7 +434,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     if first is None:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, share double, cosine double")
     texts_of = lambda rows: pa.array([r.text for r in rows], pa.string())
-    table = latent_table(docs, texts_of(first), text_col, fit_docs)
+    table = latent_table(docs, items, text_col)
     search = lambda keyed, rows: spread(keyed).mapInArrow(_search(table, [r.item_id for r in rows], texts_of(rows), cosine, contained, paraphrased), f"row {keyed.schema[0].dataType.simpleString()}, item_id bigint, share double, cosine double")
     named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     if parts == 1:

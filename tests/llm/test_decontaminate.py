@@ -1,6 +1,7 @@
 """Latent semantic retrieval: its parts by hand, and its recall against a search without the cosine's bound."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +83,40 @@ def test_short_and_long_items(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("share", F.lit("clash"))
     got = {r.doc_id: (r.item_id, r.share) for r in decontaminate.leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
     assert got == {10: (1, 1.0), 12: (2, 1.0), 15: (4, 1.0)}
+
+
+def rare_leaks():
+    """Thousands of plain documents, and twelve that each hold an item whose words are nowhere else."""
+    items = [(i, " ".join(f"q{i}x{k * k + 7 * i}" for k in range(20))) for i in range(12)]
+    plain = "the of and to in is that it was for on are with as his they be at one have".split()
+    rows = [(100 + i, " ".join(plain[(i * k) % 20] for k in range(1, 10))) for i in range(6000)]
+    return rows + [(i, f"the of and {text} to in is") for i, text in items], items
+
+
+def test_words_of_few_documents_are_in_the_space(spark, monkeypatch):
+    """The space is fitted on every document and on the items of every block."""
+    rows, items = rare_leaks()
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 400)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.item_id, r.share) for r in decontaminate.leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {i: (i, 1.0) for i, _ in items}
+
+
+def test_products_over_all_passages():
+    """Sums by runs, parts and slices are those of the TF-IDF matrix written out."""
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in np.minimum(draw.zipf(1.3, n), 500)) for n in (0, 1, 7, 8, 30, 900)]
+    idf = draw.random(decontaminate.FEATURES, dtype=np.float32) + np.float32(0.1)
+    right = draw.standard_normal((decontaminate.FEATURES, 5), dtype=np.float32)
+    passages = []
+    for _, _, hashes, first in decontaminate._words(pa.array(texts)):
+        for a, b in zip(first[:-1], first[1:]):
+            passages += [np.bincount(decontaminate.feature(hashes[s : min(s + decontaminate.WINDOW, b)]), minlength=decontaminate.FEATURES) * idf for s in range(a, b, decontaminate.STRIDE)]
+    matrix = np.array([p / np.linalg.norm(p) for p in passages])
+    want = matrix.T @ (matrix @ right)
+    for part in (decontaminate.PART, 16):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(decontaminate, "PART", part)
+            found = list(decontaminate._products(idf, right)([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+        got = np.concatenate([np.frombuffer(r.column(1)[0].as_buffer(), "<f4").reshape(-1, 5) for r in found])
+        assert np.allclose(got, want, rtol=1e-4, atol=1e-4)
