@@ -11,6 +11,7 @@ import corpus_pipeline
 from gleaner.llm import decontaminate, secrets
 from gleaner.llm.common import stage
 from gleaner.llm.q_packing import tokenizer_path
+from tests.llm.test_decontaminate import rare_leaks
 from tests.llm.test_edges import spans
 from tests.llm.test_kernels import shingles
 from tests.llm.test_minhash import components
@@ -70,6 +71,15 @@ def test_leaks_go_and_clean_documents_stay(spark, small, stages):
     assert {i for i, _ in after} & {10**6, 10**6 + 1, 10**6 + 2}
 
 
+def test_leaks_of_rare_words_go(spark, tmp_path, monkeypatch):
+    """Of thousands of documents, the few that hold items of words that are nowhere else."""
+    rows, items = rare_leaks()
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 400)
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    after = corpus_pipeline.drop_leaks(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), str(tmp_path)).collect()
+    assert sorted(map(tuple, after)) == [row for row in rows if row[0] >= 100]
+
+
 def masked(text, found):
     out, at = "", 0
     for s, e in sorted((s.start, s.end) for s in found):
