@@ -64,6 +64,24 @@ def lean(owner: str, run: Callable) -> Callable:
     return whole
 
 
+#: Bytes that a worker's allocator may keep between blocks, and the size from which it asks the system for a piece of its own.
+KEPT_BYTES, OWN_BYTES = 16 << 20, 8 << 20
+
+
+def keeping(run: Callable) -> Callable:
+    """run in a worker whose allocator keeps what a block frees for the next one; to fault the same pages in again and again
+    takes as long as hashing. It is for use inside lean, which gives all back at the end."""
+
+    def whole(batches):
+        tune = getattr(ctypes.CDLL(None), "mallopt", None)
+        if tune is not None:  # glibc's M_TRIM_THRESHOLD and M_MMAP_THRESHOLD
+            tune(-1, KEPT_BYTES)
+            tune(-3, OWN_BYTES)
+        yield from run(batches)
+
+    return whole
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n at least."""
     if len(_powers.get("up", ())) < n:
@@ -135,7 +153,9 @@ def words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple
 def _words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    inside = ~separators[raw]
+    # Tables of bytes as bytes.translate has them: numpy's own indexing makes eight bytes of each first.
+    plain = raw.tobytes()
+    inside = np.frombuffer(plain.translate((~separators).tobytes()), dtype=bool)
     edge = np.empty(len(raw) + 1, dtype=bool)
     edge[1:-1] = inside[1:] != inside[:-1]
     edge[0], edge[-1] = inside[0], inside[-1]
@@ -148,7 +168,9 @@ def _words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray, base: i
     up, down = powers(len(raw))
     prefix = np.empty(len(raw) + 1, dtype=np.uint64)
     prefix[0] = 0
-    np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * up, out=prefix[1:])
+    values = np.add(np.frombuffer(plain.translate(LOWER.tobytes()), dtype=np.uint8), np.uint64(1))
+    values *= up
+    np.cumsum(values, out=prefix[1:])
     return mix((prefix[ends] - prefix[starts]) * down[starts]), starts + base
 
 

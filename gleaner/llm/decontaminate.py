@@ -48,12 +48,14 @@ SPOTS = 4
 #: UTF-8 bytes of the items that one search takes, on average over the blocks; an item is never cut.
 ITEM_BYTES = 1 << 19
 BLOCKS = WINDOW // STRIDE
-#: Rows of the vectors that are summed at once: they stay in a core's cache.
-SOME = 256
+#: Rows of the vectors that are compared at once, and values of them that are summed: they stay in a core's cache.
+SOME, SUMMED = 256, 1 << 16
 #: Features whose sums travel in one row.
 SLICE = 128
-#: Stretches of a long text that are multiplied at once.
-PART = 4096
+#: Words of short texts and stretches of a long one that are multiplied at once: a feature's rows are then added in few runs.
+GATHERED, PART = 60_000, 16384
+#: Columns that are multiplied at once: what a part needs of them stays nearer to a core than whole rows would.
+COLUMNS = 52
 #: Rows that are added in one run, halved down to one for what is left of a feature's rows.
 RUN = 64
 
@@ -65,6 +67,19 @@ def _words(texts: pa.Array):
         yield at, end, hashes, first
 
 
+def _gathered(texts: pa.Array):
+    """(word hashes, first word of each row) of several blocks together."""
+    some, first = [], [0]
+    for _, _, hashes, starts in _words(texts):
+        some.append(hashes)
+        first += (starts[1:] + first[-1]).tolist()
+        if first[-1] >= GATHERED:
+            yield np.concatenate(some), np.array(first)
+            some, first = [], [0]
+    if some:
+        yield np.concatenate(some), np.array(first)
+
+
 def feature(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
@@ -120,9 +135,11 @@ def _sketched(batches):
     yield from _slices(sketch)
 
 
-def _slices(total: np.ndarray):
+def _slices(*columns: np.ndarray):
+    """A row for each SLICE features of the matrix that has these columns."""
     for at in range(0, FEATURES, SLICE):
-        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total[at : at + SLICE].astype("<f4").tobytes()], pa.binary())], names=["at", "sums"])
+        rows = np.concatenate([c[at : at + SLICE] for c in columns], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([rows.astype("<f4").tobytes()], pa.binary())], names=["at", "sums"])
 
 
 def _laid_out(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,12 +155,13 @@ def _laid_out(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 def _taken(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The sum of the table's rows that each column of rows names."""
     out = np.empty((rows.shape[1], table.shape[1]), dtype=np.float32)
-    more = np.empty((SOME, table.shape[1]), dtype=np.float32)
-    for at in range(0, len(out), SOME):
-        some = out[at : at + SOME]
-        np.take(table, rows[0, at : at + SOME], axis=0, out=some, mode="clip")
+    step = max(1, SUMMED // max(1, table.shape[1]))
+    more = np.empty((step, table.shape[1]), dtype=np.float32)
+    for at in range(0, len(out), step):
+        some = out[at : at + step]
+        table.take(rows[0, at : at + step], axis=0, out=some, mode="clip")
         for k in range(1, len(rows)):
-            some += np.take(table, rows[k, at : at + SOME], axis=0, out=more[: len(some)], mode="clip")
+            some += table.take(rows[k, at : at + step], axis=0, out=more[: len(some)], mode="clip")
     return out
 
 
@@ -182,40 +200,46 @@ def _squared_lengths(words: np.ndarray, bounds: np.ndarray, squares: np.ndarray)
     return out
 
 
-def _add_rows(total: np.ndarray, words: np.ndarray, rows: np.ndarray) -> None:
-    """Adds row s of rows to the total of each word in column s of words."""
+def _runs(words: np.ndarray) -> list[tuple]:
+    """(length, features, columns of words that hold them in runs of that length, first run of each feature), from RUN down."""
     flat = words.astype(np.int16).reshape(-1)
     order = np.argsort(flat, kind="stable")
     order = order[: np.searchsorted(flat, FEATURES, sorter=order)]
-    flat, of = flat[order], order % words.shape[1]
+    flat, of, out = flat[order], order % words.shape[1], []
     if not len(flat):
-        return
+        return out
     spot = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
     counts = np.diff(np.append(spot, len(flat)))
     named = flat[spot].astype(np.int64)
     for size in (RUN >> k for k in range(RUN.bit_length())):
         runs = counts // size
-        begin = np.repeat(spot, runs) + (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)) * size
+        before = np.cumsum(runs) - runs
+        begin = np.repeat(spot, runs) + (np.arange(runs.sum()) - np.repeat(before, runs)) * size
         if len(begin):
-            sums = _taken(rows, of[begin + np.arange(size)[:, None]])
-            if size == RUN:  # the only size of which a feature may have several
-                own = np.flatnonzero(runs)
-                total[named[own]] += np.add.reduceat(sums, (np.cumsum(runs) - runs)[own], axis=0)
-            else:
-                total[named[np.flatnonzero(runs)]] += sums
+            own = np.flatnonzero(runs)
+            out.append((size, named[own], of[begin + np.arange(size)[:, None]], before[own]))
         spot, counts = spot + runs * size, counts % size
+    return out
+
+
+def _add_rows(total: np.ndarray, runs: list[tuple], rows: np.ndarray) -> None:
+    """Adds row s of rows to the total of each word in column s of the words that runs were made of."""
+    for size, named, of, firsts in runs:
+        sums = _taken(rows, of)
+        # Only of the longest runs may a feature have several.
+        total[named] += np.add.reduceat(sums, firsts, axis=0) if size == RUN else sums
 
 
 def _products(idf: np.ndarray, right: np.ndarray):
     """Each task's sum of A^T (A right) over its unit TF-IDF passages A, a row for each SLICE features."""
 
     def run(batches):
-        total = np.zeros_like(right)
-        weighted = np.zeros((FEATURES + 1, right.shape[1]), dtype=np.float32)
-        np.multiply(right, idf[:, None], out=weighted[:-1])
+        spans = [slice(at, at + COLUMNS) for at in range(0, right.shape[1], COLUMNS)]
+        weighted = [np.append(right[:, c] * idf[:, None], np.zeros_like(right[:1, c]), axis=0) for c in spans]
+        totals = [np.zeros_like(w[:-1]) for w in weighted]
         squares = np.append(idf * idf, np.zeros(WINDOW, np.float32))
         for batch in batches:
-            for _, _, hashes, first in _words(batch.column(0)):
+            for hashes, first in _gathered(batch.column(0)):
                 words, bounds = _laid_out(hashes, first)
                 for low in range(0, words.shape[1], PART):
                     # The passages that begin in a part reach into the stretches behind it.
@@ -223,17 +247,21 @@ def _products(idf: np.ndarray, right: np.ndarray):
                     last = min(high + BLOCKS - 1, words.shape[1])
                     part, inner = words[:, low:last], np.clip(bounds, low, last) - low
                     n, row_end = high - low, np.repeat(inner[1:], np.diff(inner))
-                    along = windows(_taken(weighted, part), inner)[:n]
-                    along /= np.maximum(_squared_lengths(part, inner, squares)[:n], 1e-18)[:, None]
-                    back = np.zeros((last - low, right.shape[1]), dtype=np.float32)
-                    back[:n] = along
-                    for k in range(1, BLOCKS):
-                        some = min(n, last - low - k)
-                        if some > 0:
-                            _add_inside(back[k : k + some], along[:some], np.arange(some) + k < row_end[:some])
-                    _add_rows(total, part, back)
-        total *= idf[:, None]
-        yield from _slices(total)
+                    lengths = np.maximum(_squared_lengths(part, inner, squares)[:n], 1e-18)[:, None]
+                    runs = _runs(part)
+                    for table, total in zip(weighted, totals):
+                        along = windows(_taken(table, part), inner)[:n]
+                        along /= lengths
+                        back = np.zeros((last - low, table.shape[1]), dtype=np.float32)
+                        back[:n] = along
+                        for k in range(1, BLOCKS):
+                            some = min(n, last - low - k)
+                            if some > 0:
+                                _add_inside(back[k : k + some], along[:some], np.arange(some) + k < row_end[:some])
+                        _add_rows(total, runs, back)
+        for total in totals:
+            total *= idf[:, None]
+        yield from _slices(*totals)
 
     return run
 
@@ -248,7 +276,7 @@ def _added(batches):
 
 def _summed(texts: DataFrame, run) -> dict[int, bytes]:
     """What run gives over all texts, by slices. A task for each core: every task's sums are as large as the result."""
-    parts = texts.coalesce(texts.sparkSession.sparkContext.defaultParallelism).mapInArrow(bytetext.lean("decontaminate", run), "at int, sums binary")
+    parts = texts.coalesce(texts.sparkSession.sparkContext.defaultParallelism).mapInArrow(bytetext.lean("decontaminate", bytetext.keeping(run)), "at int, sums binary")
     numbered = parts.withColumn("task", F.spark_partition_id())
     return {r.at: r.sums for r in numbered.groupBy("at").applyInArrow(lambda t: _added(t.to_batches()), "at int, sums binary").toLocalIterator()}
 
@@ -382,6 +410,8 @@ def _search(table: np.ndarray, item_ids: list, item_texts: pa.Array, cosine: flo
         held = table.any(axis=1)
         dense = np.concatenate([table[held], np.zeros((1, table.shape[1]), np.float32)])
         place = np.where(held, np.cumsum(held) - 1, len(dense) - 1)
+        # Made once: fresh memory of this size costs a third of the product again.
+        room = np.empty((SOME, len(items.owner)), dtype=np.float32)
         for batch in batches:
             for at, end, hashes, first in _words(batch.column(1)):
                 best: dict[int, tuple] = {}
@@ -393,10 +423,12 @@ def _search(table: np.ndarray, item_ids: list, item_texts: pa.Array, cosine: flo
                 passages, bounds = _vectors(hashes, first, dense, place)
                 row_of = np.repeat(np.arange(end - at), np.diff(bounds))
                 for low in range(0, len(passages), SOME) if len(items.owner) else ():
-                    like = passages[low : low + SOME] @ items.vectors.T
-                    hits = np.nonzero(like >= items.bound)
+                    part = passages[low : low + SOME]
+                    like = np.matmul(part, items.vectors.T, out=room[: len(part)])
+                    hits = np.flatnonzero(like >= items.bound)  # of one axis, which is far faster where few are true
                     done = set()
-                    for p, i, like_pq in zip(hits[0].tolist(), items.owner[hits[1]].tolist(), like[hits].tolist()):
+                    at_p, at_q = np.divmod(hits, like.shape[1])
+                    for p, i, like_pq in zip(at_p.tolist(), items.owner[at_q].tolist(), like.reshape(-1)[hits].tolist()):
                         if (p, i) in done:
                             continue
                         done.add((p, i))
@@ -418,7 +450,7 @@ def _search(table: np.ndarray, item_ids: list, item_texts: pa.Array, cosine: flo
                     names=["row", "item_id", "share", "cosine"],
                 )
 
-    return bytetext.lean("decontaminate", run)
+    return bytetext.lean("decontaminate", bytetext.keeping(run))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", cosine: float = COSINE, contained: float = CONTAINED, paraphrased: float = PARAPHRASED) -> DataFrame:

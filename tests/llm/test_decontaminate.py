@@ -120,3 +120,25 @@ def test_products_over_all_passages():
             found = list(decontaminate._products(idf, right)([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
         got = np.concatenate([np.frombuffer(r.column(1)[0].as_buffer(), "<f4").reshape(-1, 5) for r in found])
         assert np.allclose(got, want, rtol=1e-4, atol=1e-4)
+
+
+def test_short_texts_are_multiplied_together(monkeypatch):
+    """Blocks of text go through the products many at a time, and the sums stay those of one block at a time."""
+    draw = np.random.default_rng(6)
+    texts = pa.array([" ".join(f"w{i}" for i in draw.integers(0, 3000, n)) for n in draw.integers(0, 400, 800)])
+    idf = draw.random(decontaminate.FEATURES, dtype=np.float32) + np.float32(0.1)
+    right = draw.standard_normal((decontaminate.FEATURES, 7), dtype=np.float32)
+    calls, real = [], decontaminate._squared_lengths
+    monkeypatch.setattr(decontaminate, "_squared_lengths", lambda *given: calls.append(1) or real(*given))
+
+    def summed():
+        calls.clear()
+        found = list(decontaminate._products(idf, right)([pa.RecordBatch.from_arrays([texts], names=["text"])]))
+        return np.concatenate([np.frombuffer(r.column(1)[0].as_buffer(), "<f4").reshape(-1, 7) for r in found])
+
+    blocks = len(list(decontaminate._words(texts)))
+    together = summed()
+    assert blocks >= 6 and len(calls) <= blocks / 2
+    monkeypatch.setattr(decontaminate, "GATHERED", 1, raising=False)
+    monkeypatch.setattr(decontaminate, "COLUMNS", 3, raising=False)
+    assert np.allclose(summed(), together, rtol=1e-4, atol=1e-4) and len(calls) == blocks
