@@ -30,15 +30,18 @@ class SeenSet:
         return True
 
 
-def dedup(df: DataFrame, content: str = "content", score: str = "score", tie: str = "uri", ascending: bool = False) -> DataFrame:
-    """One row for each fingerprint: the best score, then the smallest `tie`.
+def dedup(df: DataFrame, content: str = "content", score: str = "score", tie: str = "uri", ascending: bool = False, exact: bool = False) -> DataFrame:
+    """One row for each fingerprint: the best score, then the smallest `tie`, nulls last.
 
+    Near copies and texts below three bytes can share a fingerprint; with `exact` these stay apart, told by SHA-256.
     Tasks keep one row of each fingerprint before the exchange (a limit on the window's groups), so one that a third of
     all rows share costs a row a task; only columns that are asked for later are sorted and exchanged.
     """
-    marked = df.withColumn("_fp", simhash(F.col(content)))
-    order = Window.partitionBy("_fp").orderBy(F.col(score).asc() if ascending else F.col(score).desc(), F.col(tie))
-    return marked.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == 1).drop("_n", "_fp")
+    marked, same = df.withColumn("_fp", simhash(F.col(content))), ["_fp"]
+    if exact:
+        marked, same = marked.withColumn("_sha", F.unhex(F.sha2(F.col(content).cast("binary"), 256))), ["_fp", "_sha"]
+    order = Window.partitionBy(*same).orderBy(F.col(score).asc() if ascending else F.col(score).desc(), F.col(tie).asc_nulls_last())
+    return marked.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == 1).drop("_n", *same)
 
 
 #: Bands of a fingerprint: bits that differ fall into as many bands at most, so BANDS - bits of them are equal.

@@ -81,6 +81,24 @@ def test_dedup_keeps_the_better_page(spark):
     assert sorted(r.uri for r in dedup(df).collect()) == ["a", "c", "d"]  # short contents share fingerprint 0
 
 
+def test_dedup_query_tells_collisions_apart(spark, tmp_path):
+    from gleaner.plans.catalog import ORACLES, QUERIES
+    from gleaner.schema import CONTENT_BYTES
+
+    long = "word " * 400
+    texts = [long + "a", long + "b", long + "a", "a", "b", "", "a", None, None, "w" * CONTENT_BYTES, "w" * CONTENT_BYTES + "x", "tied"]
+    assert simhash_bytes(texts[0].encode()) == simhash_bytes(texts[1].encode())
+    rows = [(None, "tied", "en"), *[(i, t, "en") for i, t in enumerate(texts)]]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(ORACLES["dedup_pages"]).fetchall()
+    got = [r.doc_id for r in QUERIES["dedup_pages"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted((i for (i,) in want), key=str) == [0, 1, 10, 11, 3, 4, 5]
+
+
 def test_fifo_dedup(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(["alpha", "alpha", "beta", "gamma", "alpha"])], "n int, content string")
     assert [r.n for r in fifo_dedup(df, "n", 2).orderBy("n").collect()] == [0, 2, 3, 4]
